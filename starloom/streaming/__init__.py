@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The workload is batch only: full-refresh loads of a flat extract into two
+dimensional models, reports on them, and dashboard marts.  There is no
+stream, watermark, window over event time or state to keep, so nothing here
+uses Structured Streaming.  A full-refresh rebuild (``plans.star``) is
+re-runnable and idempotent, which is the whole load contract.
+"""
