@@ -10,8 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import reports
-from .sources.testdata import TestData
+from .operators.clean import conform_orders, dedup_returns, repair_postal_code, with_return_flag
+from .operators import audit
+from .plans import marts, reports
+from .plans.star import DELIVER_KEY, PRODUCT_KEY
+from .schemas import MODEL_V1, MODEL_V2, ORDER_COLUMNS
+from .plans.star import StarV1, StarV2
+from .schemas import FLAT_COLUMNS
+from .sources.testdata import VERMONT_ANALOG, TestData
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,8 +30,139 @@ def _report(fn) -> Query:
     return run
 
 
+def star_v1(spark: SparkSession, sf_dir: str) -> StarV1:
+    td = TestData(spark, sf_dir)
+    return StarV1(td.flat_orders(), td.people(), td.returns(), VERMONT_ANALOG)
+
+
+def star_v2(spark: SparkSession, sf_dir: str) -> StarV2:
+    td = TestData(spark, sf_dir)
+    return StarV2(td.flat_orders(), td.people(), td.returns(), VERMONT_ANALOG)
+
+
+def _model_report(build, fn, columns: list[str]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(build(spark, sf_dir).view(columns))
+    run.__name__ = fn.__name__
+    return run
+
+
+def _td(method: str) -> Query:
+    return lambda spark, sf_dir: getattr(TestData(spark, sf_dir), method)()
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for key, fn in reports.REPORTS.items():
         q[key] = _report(fn)
+        q[f"{key}_v1"] = _model_report(star_v1, fn, reports.REPORT_COLUMNS[key])
+        q[f"{key}_v2"] = _model_report(star_v2, fn, reports.REPORT_COLUMNS[key])
+
+    # sources and repairs
+    q["src_flat_orders"] = lambda s, d: TestData(s, d).flat_orders().select(*FLAT_COLUMNS)
+    q["src_people"] = _td("people")
+    q["src_returns_dedup"] = lambda s, d: dedup_returns(TestData(s, d).returns())
+    q["repair_postal_code"] = lambda s, d: repair_postal_code(TestData(s, d).flat_orders(), VERMONT_ANALOG)
+    q["order_return_flag"] = lambda s, d: with_return_flag(
+        TestData(s, d).flat_orders().select("order_id").distinct(), dedup_returns(TestData(s, d).returns()))
+    q["conform_orders"] = lambda s, d: conform_orders(TestData(s, d).flat_orders())
+
+    # v1 star
+    q["dim_customer"] = lambda s, d: star_v1(s, d).customer_dim
+    q["dim_manager"] = lambda s, d: star_v1(s, d).manager_dim
+    q["dim_product"] = lambda s, d: star_v1(s, d).product_dim
+    q["dim_deliver"] = lambda s, d: star_v1(s, d).deliver_dim
+    q["dim_ship"] = lambda s, d: star_v1(s, d).ship_dim
+    q["dim_order_v1"] = lambda s, d: star_v1(s, d).order_dim
+    q["fact_sales_v1"] = lambda s, d: star_v1(s, d).sales_fact
+    q["star_v1"] = lambda s, d: star_v1(s, d).row_counts()
+    q["star_flatten_v1"] = lambda s, d: star_v1(s, d).flatten()
+    # v2 header / detail
+    q["dim_ship_v2"] = lambda s, d: star_v2(s, d).ship_dim_v2
+    q["order_header_v2"] = lambda s, d: star_v2(s, d).orders_v2
+    q["order_detail_v2"] = lambda s, d: star_v2(s, d).order_details_v2
+    q["star_v2"] = lambda s, d: star_v2(s, d).row_counts()
+    q["star_flatten_v2"] = lambda s, d: star_v2(s, d).flatten()
+
+    # superstore marts
+    q["wide_orders"] = wide
+    q["returns_count_by_year"] = lambda s, d: marts.returns_count_by_year(wide(s, d))
+    q["pivot_sales_category_year"] = lambda s, d: marts.pivot_sales_category_year(
+        TestData(s, d).flat_orders(), PIVOT_CATEGORIES)
+    q["manager_performance"] = lambda s, d: marts.manager_performance(wide(s, d))
+    q["sales_dashboard"] = lambda s, d: marts.sales_dashboard(TestData(s, d).flat_orders())
+
+    # audits
+    q["audit_primary_keys"] = audit_primary_keys
+    q["audit_orphans"] = audit_orphans
+    q["audit_not_null"] = lambda s, d: audit.declared_columns(
+        TestData(s, d).flat_orders(), "orders", ORDER_COLUMNS, not_null=True, type_fit=False)
+    q["audit_type_fit"] = lambda s, d: audit.declared_columns(
+        TestData(s, d).flat_orders(), "orders", ORDER_COLUMNS, not_null=False, type_fit=True)
+    q["audit_order_dependency"] = lambda s, d: audit.functional_dependency(
+        wide(s, d), "order_id", ORDER_ATTRIBUTES, "orders")
+    q["audit_join_loss"] = audit_join_loss
+    q["model_redundancy"] = model_redundancy
     return q
+
+
+# --- fixed values: pivot columns (the analog's product categories) -------------
+PIVOT_CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+# order-level attributes that v2 moves to the header
+ORDER_ATTRIBUTES = ["customer_id", "customer_name", "segment", "country", "state", "city", "postal_code",
+                    "region", "order_date", "ship_date", "ship_mode", "manager", "returned"]
+
+
+def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    td = TestData(spark, sf_dir)
+    return marts.wide_orders(td.flat_orders(), td.people(), td.returns())
+
+
+def _both_models(spark: SparkSession, sf_dir: str):
+    """v1 and v2 over one staging table and one set of shared dimensions."""
+    v1 = star_v1(spark, sf_dir)
+    return v1, StarV2.alongside(v1), TestData(spark, sf_dir)
+
+
+def audit_primary_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v1, v2, td = _both_models(spark, sf_dir)
+    tables = {**v1.tables(), **v2.tables(), "people": td.people()}
+    keys = {name: spec["pk"] for name, spec in {**MODEL_V1, **MODEL_V2}.items()}
+    keys["people"] = ["person"]
+    return audit.primary_keys(tables, keys)
+
+
+def audit_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v1, v2, _ = _both_models(spark, sf_dir)
+    tables = {**v1.tables(), **v2.tables()}
+    fks = [(child, cols, parent, pcols)
+           for child, spec in {**MODEL_V1, **MODEL_V2}.items() for cols, parent, pcols in spec["fk"]]
+    return audit.orphans(tables, fks)
+
+
+def audit_join_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v1 = star_v1(spark, sf_dir)
+    td = TestData(spark, sf_dir)
+    stg, raw = v1.staging, td.flat_orders()
+    return audit.join_loss({
+        "product": (stg, v1.product_dim, PRODUCT_KEY),
+        "deliver": (stg, v1.deliver_dim, DELIVER_KEY),
+        "ship": (stg, v1.ship_dim, ["ship_mode"]),
+        "manager": (stg, td.people(), ["region"]),
+        "returns_raw": (stg, td.returns(), ["order_id"]),
+        "deliver_unrepaired": (raw, raw.select(*DELIVER_KEY).distinct(), DELIVER_KEY),
+    })
+
+
+def model_redundancy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order-level ids stored per model (ship, deliver, customer ids)."""
+    from pyspark.sql import functions as F
+    v1, v2, _ = _both_models(spark, sf_dir)
+
+    def stats(model: str, name: str, df: DataFrame) -> DataFrame:
+        per_order = df.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
+        return per_order.agg(F.lit(model).alias("model"), F.lit(name).alias("table_name"),
+                             F.sum("n").cast("long").alias("row_count"),
+                             (F.sum("n") * 3).cast("long").alias("order_level_ids"),
+                             F.count(F.lit(1)).alias("distinct_orders"))
+    return stats("v1", "sales_fact", v1.sales_fact).unionByName(stats("v2", "orders_v2", v2.orders_v2))

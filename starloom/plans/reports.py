@@ -116,3 +116,19 @@ REPORTS = {
     "customer_ranking": customer_ranking,
     "sales_by_region": sales_by_region,
 }
+
+# columns each report reads: a model view joins only the dimensions behind them
+REPORT_COLUMNS = {
+    "total_sales": ["sales"],
+    "total_profit": ["profit"],
+    "profit_ratio": ["profit", "sales"],
+    "profit_per_order": ["order_id", "profit"],
+    "sales_per_customer": ["customer_id", "sales"],
+    "avg_discount": ["discount"],
+    "monthly_sales_by_segment": ["order_date", "segment", "sales"],
+    "monthly_sales_by_category": ["order_date", "category", "sales"],
+    "sales_by_category": ["category", "sales"],
+    "sales_profit_by_customer": ["customer_id", "sales", "profit"],
+    "customer_ranking": ["customer_id", "sales"],
+    "sales_by_region": ["region", "sales"],
+}
