@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .operators.clean import conform_orders, dedup_returns, repair_postal_code, with_return_flag
 from .operators import audit
-from .plans import marts, reports
+from .plans import marts, rental, reports
+from .plans.rental import HomeFilter
 from .plans.star import DELIVER_KEY, PRODUCT_KEY
 from .schemas import MODEL_V1, MODEL_V2, ORDER_COLUMNS
 from .plans.star import StarV1, StarV2
@@ -103,9 +104,57 @@ def queries() -> dict[str, Query]:
         wide(s, d), "order_id", ORDER_ATTRIBUTES, "orders")
     q["audit_join_loss"] = audit_join_loss
     q["model_redundancy"] = model_redundancy
+
+    # rental marts
+    q["src_listings"] = _td("listings")
+    q["src_reviews"] = _td("reviews")
+    q["overall_rating"] = lambda s, d: rental.overall_rating(TestData(s, d).listings())
+    q["reviews_per_listing"] = lambda s, d: rental.reviews_per_listing(TestData(s, d).reviews())
+    q["listing_reviews"] = lambda s, d: listing_reviews(s, d)
+    q["home_rating"] = lambda s, d: rental.home_rating(*_lr(s, d))
+    q["home_latest_attributes"] = lambda s, d: rental.home_latest_attributes(*_lr(s, d))
+    q["home_scorecard"] = lambda s, d: rental.home_scorecard(*_lr(s, d))
+    q["city_rating"] = lambda s, d: rental.city_rating(TestData(s, d).listings())
+    q["district_rating"] = lambda s, d: rental.district_rating(TestData(s, d).listings())
+    q["home_reviews_by_year"] = lambda s, d: rental.home_reviews_by_year(*_lr(s, d))
+    q["reviews_trend"] = lambda s, d: rental.reviews_trend(TestData(s, d).reviews())
+    q["filter_listings"] = lambda s, d: rental.filter_homes(*_lr(s, d), FILTER_LISTINGS)
+    q["drill_city"] = lambda s, d: rental.filter_homes(*_lr(s, d), DRILL_CITY)
+    q["top_homes"] = lambda s, d: rental.top_homes(rental.filter_homes(*_lr(s, d), TOP_FILTER), TOP_N)
+    q["top_homes_per_city"] = lambda s, d: rental.top_homes_per_city(
+        rental.filter_homes(*_lr(s, d), TOP_FILTER), TOP_PER_CITY)
+    q["best_home"] = lambda s, d: rental.top_homes(rental.filter_homes(*_lr(s, d), TOP_FILTER), 1)
+    q["best_city"] = lambda s, d: rental.best_city(rental.city_rating(TestData(s, d).listings()))
+    q["best_vs_selected_city"] = lambda s, d: rental.best_vs_selected_city(
+        rental.city_rating(TestData(s, d).listings()), SELECTED_CITY)
+    q["best_vs_selected_home"] = lambda s, d: rental.best_vs_selected_home(
+        rental.filter_homes(*_lr(s, d), TOP_FILTER), rental.home_scorecard(*_lr(s, d)))
     return q
 
 
+# --- fixed values: default dashboard parameters ----------------------------------
+SELECTED_CITY = "PROMO"
+FILTER_LISTINGS = HomeFilter(year=1998, room_type="Private room", min_reviews=5, min_bedrooms=2, min_capacity=3)
+DRILL_CITY = HomeFilter(year=1998, city=SELECTED_CITY, min_reviews=5, min_bedrooms=2, min_capacity=3)
+TOP_FILTER = HomeFilter(min_reviews=20, min_bedrooms=2, min_capacity=3)
+TOP_N = 10
+TOP_PER_CITY = 3
+
+
+def _lr(spark: SparkSession, sf_dir: str):
+    td = TestData(spark, sf_dir)
+    return td.listings(), td.reviews()
+
+
+def listing_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    from .functions import half_up_div, scaled_decimal
+    lr = rental.listing_reviews(*_lr(spark, sf_dir))
+    return lr.select("listing_id", *rental.HOME_KEY, "room_type", "bedrooms", "accommodates", "price",
+                     scaled_decimal(half_up_div("__u * 10000", "60"), 4, 10).alias("overall_rating"),
+                     F.col("reviews"), F.col("last_review"))
+
+
 # --- fixed values: pivot columns (the analog's product categories) -------------
 PIVOT_CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 # order-level attributes that v2 moves to the header
