@@ -17,6 +17,10 @@ here gives the same numbers:
 
 Only the per-partition count table is ever small enough to sit in one task;
 no data row is funnelled anywhere.
+
+``row_number`` chooses between the two forms by a checked size: the input is
+written once, its row count read back (Parquet footers), and only when it is
+at most ``SINGLE_TASK_MAX_ROWS`` is the one-window form used.
 """
 
 from __future__ import annotations
@@ -30,6 +34,9 @@ from ..session import materialize
 
 _PID, _MID, _START, _CNT = "__pid", "__mid", "__start", "__cnt"
 
+# design bound: rows one task may number on its own (short keys: well under 1 GB)
+SINGLE_TASK_MAX_ROWS = 1_000_000
+
 
 def _sort_exprs(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
@@ -68,9 +75,19 @@ def row_number_single(df: DataFrame, order: Sequence[Column | str], out_col: str
     return df.withColumn(out_col, (F.row_number().over(w) + F.lit(offset)).cast("long"))
 
 
-def dense_key(df: DataFrame, natural_key: Sequence[str], out_col: str, offset: int = 0) -> DataFrame:
+def row_number(df: DataFrame, order: Sequence[Column | str], out_col: str, offset: int = 0,
+               single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
+    """Row numbers over a total order, choosing the plan by a checked size."""
+    snap = materialize(df, "rownum_in")
+    if snap.count() <= single_task_max_rows:
+        return row_number_single(snap, order, out_col, offset)
+    return row_number_global(snap, order, out_col, offset)
+
+
+def dense_key(df: DataFrame, natural_key: Sequence[str], out_col: str, offset: int = 0,
+              single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
     """Distinct natural keys numbered offset+1..offset+n in key order
     (binary string order, NULLs last).  Output: out_col, *natural_key."""
     distinct = df.select(*natural_key).distinct()
-    keyed = row_number_global(distinct, list(natural_key), out_col, offset)
+    keyed = row_number(distinct, list(natural_key), out_col, offset, single_task_max_rows)
     return keyed.select(out_col, *natural_key)
