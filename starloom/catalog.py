@@ -192,7 +192,7 @@ def audit_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def audit_join_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     v1 = star_v1(spark, sf_dir)
     td = TestData(spark, sf_dir)
-    stg, raw = v1.staging, td.flat_orders()
+    stg, raw = v1.staging, v1.raw_staging
     return audit.join_loss({
         "product": (stg, v1.product_dim, PRODUCT_KEY),
         "deliver": (stg, v1.deliver_dim, DELIVER_KEY),

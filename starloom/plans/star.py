@@ -5,8 +5,9 @@ ship_dim and sales_fact.  v2 (header/detail): ship_dim_v2, product_dim_v2,
 deliver_dim_v2, customer_dim_v2, orders_v2, order_details_v2.
 
 Plan shape:
-  * the repaired flat table (B1) is written once to the shared checkpoint
-    folder; every dimension and the fact read it from there (column pruned);
+  * the flat table is written once to the shared checkpoint folder; B1 is a
+    projection over it, and every dimension and the fact read it from there
+    (column pruned);
   * surrogate keys come from the distributed dense-key operator (2.7);
   * natural keys are resolved with plain equi joins; Spark/AQE broadcast a
     dimension only when its measured size is under the threshold, otherwise
@@ -52,11 +53,17 @@ class _Model:
     _shared: "_Model | None" = None
 
     @cached_property
-    def staging(self) -> DataFrame:
+    def raw_staging(self) -> DataFrame:
+        """The flat extract as loaded, written once to the shared folder."""
         if self._shared is not None:
-            return self._shared.staging
-        repaired = repair_postal_code(self._flat, self._repair_state)
-        return materialize(repaired, "stg_orders") if self._stage else repaired
+            return self._shared.raw_staging
+        return materialize(self._flat, "stg_orders") if self._stage else self._flat
+
+    @cached_property
+    def staging(self) -> DataFrame:
+        """B1 applied as a projection over the written extract: the raw and the
+        repaired table share one snapshot."""
+        return repair_postal_code(self.raw_staging, self._repair_state)
 
     @cached_property
     def returns_dedup(self) -> DataFrame:

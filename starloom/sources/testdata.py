@@ -31,6 +31,13 @@ REVIEW_SKIP_REMAINDER = 49
 NO_ACCURACY_MODULUS = 97             # accuracy score NULL when partkey % 97 == 0
 
 
+# Reader DataFrames per (application, path).  The test tables are read-only,
+# so the file listing and footer schema of a path are resolved once per
+# application instead of on every query; the plans stay lazy and every query
+# still scans the files.
+_READERS: dict[tuple[str, str], DataFrame] = {}
+
+
 class TestData:
     """Lazy access to the test tables of one scale factor and their analogs."""
 
@@ -41,7 +48,13 @@ class TestData:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        key = (self.spark.sparkContext.applicationId, path)
+        df = _READERS.get(key)
+        if df is None or df.sparkSession is not self.spark:
+            df = self.spark.read.parquet(path)
+            _READERS[key] = df
+        return df
 
     # -- superstore analog ---------------------------------------------------
     def flat_orders(self) -> DataFrame:
