@@ -110,7 +110,7 @@ def queries() -> dict[str, Query]:
     q["src_reviews"] = _td("reviews")
     q["overall_rating"] = lambda s, d: rental.overall_rating(TestData(s, d).listings())
     q["reviews_per_listing"] = lambda s, d: rental.reviews_per_listing(TestData(s, d).reviews())
-    q["listing_reviews"] = lambda s, d: listing_reviews(s, d)
+    q["listing_reviews"] = lambda s, d: rental.listing_review_table(*_lr(s, d))
     q["home_rating"] = lambda s, d: rental.home_rating(*_lr(s, d))
     q["home_latest_attributes"] = lambda s, d: rental.home_latest_attributes(*_lr(s, d))
     q["home_scorecard"] = lambda s, d: rental.home_scorecard(*_lr(s, d))
@@ -146,15 +146,6 @@ def _lr(spark: SparkSession, sf_dir: str):
     return td.listings(), td.reviews()
 
 
-def listing_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-    from .functions import half_up_div, scaled_decimal
-    lr = rental.listing_reviews(*_lr(spark, sf_dir))
-    return lr.select("listing_id", *rental.HOME_KEY, "room_type", "bedrooms", "accommodates", "price",
-                     scaled_decimal(half_up_div("__u * 10000", "60"), 4, 10).alias("overall_rating"),
-                     F.col("reviews"), F.col("last_review"))
-
-
 # --- fixed values: pivot columns (the analog's product categories) -------------
 PIVOT_CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 # order-level attributes that v2 moves to the header
@@ -204,14 +195,5 @@ def audit_join_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_redundancy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order-level ids stored per model (ship, deliver, customer ids)."""
-    from pyspark.sql import functions as F
     v1, v2, _ = _both_models(spark, sf_dir)
-
-    def stats(model: str, name: str, df: DataFrame) -> DataFrame:
-        per_order = df.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
-        return per_order.agg(F.lit(model).alias("model"), F.lit(name).alias("table_name"),
-                             F.sum("n").cast("long").alias("row_count"),
-                             (F.sum("n") * 3).cast("long").alias("order_level_ids"),
-                             F.count(F.lit(1)).alias("distinct_orders"))
-    return stats("v1", "sales_fact", v1.sales_fact).unionByName(stats("v2", "orders_v2", v2.orders_v2))
+    return audit.model_redundancy({"v1": ("sales_fact", v1.sales_fact), "v2": ("orders_v2", v2.orders_v2)})

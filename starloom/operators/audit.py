@@ -118,3 +118,16 @@ def join_loss(rules: Mapping[str, tuple[DataFrame, DataFrame, Sequence[str]]]) -
             F.count_if(F.col("__matches") > 1).cast("long").alias("multiplied"),
             F.coalesce(F.sum("__matches"), F.lit(0)).cast("long").alias("joined_rows")))
     return _union(parts)
+
+
+def model_redundancy(models: Mapping[str, tuple[str, DataFrame]], ids_per_row: int = 3) -> DataFrame:
+    """Order-level ids each model stores (ship, deliver, customer ids):
+    one set per line in the v1 fact, one per order in the v2 header."""
+    parts = []
+    for model, (table, df) in models.items():
+        per_order = df.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(per_order.agg(F.lit(model).alias("model"), F.lit(table).alias("table_name"),
+                                   F.sum("n").cast("long").alias("row_count"),
+                                   (F.sum("n") * ids_per_row).cast("long").alias("order_level_ids"),
+                                   F.count(F.lit(1)).alias("distinct_orders")))
+    return _union(parts)

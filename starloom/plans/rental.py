@@ -86,6 +86,14 @@ def listing_reviews(listings: DataFrame, reviews: DataFrame, flt: HomeFilter = H
             .withColumn("reviews", F.coalesce(F.col("reviews"), F.lit(0).cast("long"))))
 
 
+def listing_review_table(listings: DataFrame, reviews: DataFrame) -> DataFrame:
+    """C8 as a table: listing attributes, overall rating, review count, last review."""
+    lr = listing_reviews(listings, reviews)
+    return lr.select("listing_id", *HOME_KEY, "room_type", "bedrooms", "accommodates", "price",
+                     scaled_decimal(half_up_div("__u * 10000", "60"), 4, 10).alias("overall_rating"),
+                     "reviews", "last_review")
+
+
 def _mean4(sum_col: str, n_col: str, scale_num: str) -> Column:
     return scaled_decimal(half_up_div(f"{sum_col} * {scale_num}", n_col), 4, 10)
 

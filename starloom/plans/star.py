@@ -19,6 +19,7 @@ and one dimension does not build the rest.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -65,6 +66,16 @@ class _Model:
         repaired table share one snapshot."""
         return repair_postal_code(self.raw_staging, self._repair_state)
 
+    def prefetch(self, *names: str) -> None:
+        """Build independent tables concurrently (separate Spark jobs from
+        driver threads).  The shared staging snapshot is resolved first, in the
+        calling thread, so the threads only read it."""
+        self.staging  # noqa: B018
+        todo = [n for n in names if n not in self.__dict__]
+        if len(todo) > 1:
+            with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+                list(pool.map(lambda n: getattr(self, n), todo))
+
     @cached_property
     def returns_dedup(self) -> DataFrame:
         return dedup_returns(self._returns)
@@ -130,6 +141,7 @@ class StarV1(_Model):
 
     @cached_property
     def sales_fact(self) -> DataFrame:
+        self.prefetch("product_dim", "deliver_dim", "ship_dim")
         return (self.staging
                 .join(self.product_dim, PRODUCT_KEY)
                 .join(self.deliver_dim, DELIVER_KEY)
@@ -207,6 +219,7 @@ class StarV2(_Model):
         deduplicated so identical lookup rows cannot fan out.  Keys of the
         joined dimensions are unique by construction, hence the output is
         already distinct."""
+        self.prefetch("ship_dim_v2", "deliver_dim_v2", "product_dim_v2")
         header = self.staging.select("order_id", "order_date", "ship_date", "customer_id", "ship_mode",
                                      *DELIVER_KEY).distinct()
         people = self._people.select("region", F.col("person").alias("manager")).distinct()
@@ -219,6 +232,7 @@ class StarV2(_Model):
     @cached_property
     def order_details_v2(self) -> DataFrame:
         """Lines with measures and the product key."""
+        self.prefetch("ship_dim_v2", "deliver_dim_v2", "product_dim_v2")
         return self.staging.join(self.product_dim_v2, PRODUCT_KEY).select(*DETAIL_COLUMNS)
 
     def tables(self) -> dict[str, DataFrame]:
