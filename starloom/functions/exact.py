@@ -16,14 +16,18 @@ from pyspark.sql import functions as F
 def half_up_div(num: str, den: str) -> Column:
     """round_half_away_from_zero(num / den) as bigint; NULL when den <= 0 or NULL.
 
-    ``num`` and ``den`` are SQL expressions over integral values (decimal(38,0)
-    is used internally, so sums far beyond bigint are safe).
+    ``num`` and ``den`` are SQL expressions over integral values; they are
+    cast to decimal(38,0), so sums far beyond bigint are safe.  The quotient
+    itself must fit in bigint (means and ratios here are small); ``div``
+    would wrap silently, so a larger quotient raises an error instead.
     """
     n = f"CAST(({num}) AS DECIMAL(38,0))"
     d = f"CAST(({den}) AS DECIMAL(38,0))"
     return F.expr(
         f"CASE WHEN {d} > 0 THEN "
-        f"CASE WHEN {n} < 0 THEN -((2 * -{n} + {d}) div (2 * {d})) "
+        f"CASE WHEN abs({n}) / {d} >= 4000000000000000000 "
+        f"THEN raise_error('half_up_div: quotient does not fit in bigint') "
+        f"WHEN {n} < 0 THEN -((2 * -{n} + {d}) div (2 * {d})) "
         f"ELSE (2 * {n} + {d}) div (2 * {d}) END END"
     )
 

@@ -12,7 +12,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize_all
 from .clean import fit_violation
+from .joins import lookup_join
 
 RULE_COLUMNS = ["rule", "table_name", "column_name", "checked_rows", "violations"]
 
@@ -53,16 +55,19 @@ def orphans(tables: Mapping[str, DataFrame],
             fks: Sequence[tuple[str, Sequence[str], str, Sequence[str]]]) -> DataFrame:
     """Child rows whose non-NULL foreign key has no parent.
 
-    The parent keys are made distinct and tagged, then left-joined: one pass
-    gives both the checked rows and the orphans, and the join cannot fan out."""
+    The parent keys are made distinct and tagged, then left-joined as a
+    written lookup: one pass gives both the checked rows and the orphans, the
+    join cannot fan out, and a hot foreign key is split by AQE."""
+    lookups = materialize_all({
+        f"parent_keys_{i}": tables[parent].select(*[F.col(pc).alias(cc) for pc, cc in zip(pcols, cols)])
+        .distinct().withColumn("__hit", F.lit(True))
+        for i, (child, cols, parent, pcols) in enumerate(fks)})
     parts = []
-    for child, cols, parent, pcols in fks:
+    for i, (child, cols, parent, pcols) in enumerate(fks):
         c = tables[child].select(*cols)
         for col in cols:
             c = c.where(F.col(col).isNotNull())
-        p = (tables[parent].select(*[F.col(pc).alias(cc) for pc, cc in zip(pcols, cols)]).distinct()
-             .withColumn("__hit", F.lit(True)))
-        j = c.join(p, list(cols), "left")
+        j = lookup_join(c, lookups[f"parent_keys_{i}"], cols, "left", written=True)
         parts.append(_rule(j, "foreign_key", child, f"{','.join(cols)}->{parent}",
                            F.count(F.lit(1)), F.count_if(F.col("__hit").isNull())))
     return _union(parts)
@@ -106,12 +111,15 @@ def functional_dependency(df: DataFrame, key: str, attributes: Sequence[str], ta
 def join_loss(rules: Mapping[str, tuple[DataFrame, DataFrame, Sequence[str]]]) -> DataFrame:
     """Per lookup join (name -> (lines, lookup, keys)), the lines that find
     no match (lost) and the lines that find more than one (multiplied).  The
-    lookup side is reduced to one count per key first, so the audit join
-    itself never fans out; NULL keys never match, as in the model joins."""
+    lookup side is reduced to one count per key first and joined as a written
+    lookup, so the audit join never fans out and a hot key is split by AQE;
+    NULL keys never match, as in the model joins."""
+    counts = materialize_all({
+        name: lookup.groupBy(*keys).agg(F.count(F.lit(1)).alias("__matches"))
+        for name, (_, lookup, keys) in rules.items()})
     parts = []
-    for name, (lines, lookup, keys) in rules.items():
-        counts = lookup.groupBy(*keys).agg(F.count(F.lit(1)).alias("__matches"))
-        j = lines.select(*keys).join(counts, list(keys), "left")
+    for name, (lines, _, keys) in rules.items():
+        j = lookup_join(lines.select(*keys), counts[name], keys, "left", written=True)
         parts.append(j.agg(
             F.lit(name).alias("join_name"), F.count(F.lit(1)).alias("checked_rows"),
             F.count_if(F.col("__matches").isNull()).cast("long").alias("lost"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
+from .joins import lookup_join
 
 
 def repair_postal_code(df: DataFrame, state_value: str, new_value: int = 0,
@@ -27,11 +28,14 @@ def dedup_returns(returns: DataFrame, key: str = "order_id", flag: str = "return
 
 
 def with_return_flag(df: DataFrame, returns_dedup: DataFrame, key: str = "order_id",
-                     flag: str = "returned", default: str = "No") -> DataFrame:
-    """B2: left join to deduplicated returns, unmatched orders get ``default``."""
+                     flag: str = "returned", default: str = "No", lines: bool = False) -> DataFrame:
+    """B2: left join to deduplicated returns, unmatched orders get ``default``.
+
+    ``lines=True`` when ``df`` holds order lines (a hot order possible): the
+    returns are then joined as a written lookup so AQE can split the hot key."""
     r = returns_dedup.select(F.col(key), F.col(flag).alias("__flag"))
-    return (df.join(r, key, "left")
-            .withColumn(flag, F.coalesce(F.col("__flag"), F.lit(default))).drop("__flag"))
+    joined = lookup_join(df, r, [key], "left", "returns") if lines else df.join(r, key, "left")
+    return joined.withColumn(flag, F.coalesce(F.col("__flag"), F.lit(default))).drop("__flag")
 
 
 def fit_violation(col: str, declared: str) -> Column:

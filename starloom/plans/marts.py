@@ -28,7 +28,7 @@ def manager_lookup(people: DataFrame) -> DataFrame:
 def wide_orders(flat: DataFrame, people: DataFrame, returns: DataFrame) -> DataFrame:
     """Order lines + manager + return flag, one row per line."""
     w = flat.join(manager_lookup(people), "region", "left")
-    w = with_return_flag(w, dedup_returns(returns))
+    w = with_return_flag(w, dedup_returns(returns), lines=True)
     return w.select(*FLAT_COLUMNS, "manager", "returned")
 
 

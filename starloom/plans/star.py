@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ..operators.clean import dedup_returns, repair_postal_code, with_return_flag
 from ..operators.keys import dense_key
 from ..schemas import FLAT_COLUMNS
-from ..session import materialize
+from ..session import materialize, materialize_all
 
 # --- fixed values of the reference models -------------------------------------
 PRODUCT_KEY = ["product_name", "category", "subcategory"]
@@ -107,6 +107,13 @@ class _Model:
             out = out.unionByName(p)
         return out
 
+    def snapshot(self) -> dict[str, DataFrame]:
+        """Every table written once to the shared folder (concurrent jobs) and
+        read back: what audits and exports read, instead of re-deriving the
+        fact or header per consumer."""
+        tables = self.tables()
+        return materialize_all({name: df for name, df in tables.items()})
+
     def write(self, path: str) -> None:
         """A5: full refresh, one Parquet directory per table (re-runnable)."""
         for name, df in self.tables().items():
@@ -212,6 +219,17 @@ class StarV2(_Model):
     def customer_dim_v2(self) -> DataFrame:
         return self._customer()
 
+    @staticmethod
+    def snapshot_together(v1: StarV1, v2: "StarV2") -> dict[str, DataFrame]:
+        """Both models written in one concurrent pass; a table shared by the two
+        (v2 built ``alongside`` v1) is written once."""
+        tables = {**v1.tables(), **v2.tables()}
+        unique: dict[int, str] = {}
+        for name, df in tables.items():
+            unique.setdefault(id(df), name)
+        written = materialize_all({name: tables[name] for name in unique.values()})
+        return {name: written[unique[id(df)]] for name, df in tables.items()}
+
     @cached_property
     def orders_v2(self) -> DataFrame:
         """Order headers.  Order-level attributes are made distinct

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,3 +75,13 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     path = os.path.join(checkpoint_dir(spark), "starloom", f"{tag}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize_all(frames: dict[str, DataFrame], max_workers: int = 8) -> dict[str, DataFrame]:
+    """``materialize`` several independent frames as concurrent Spark jobs
+    (submitted from driver threads; the cluster schedules their tasks)."""
+    if len(frames) <= 1:
+        return {k: materialize(v, k) for k, v in frames.items()}
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(frames))) as pool:
+        futures = {k: pool.submit(materialize, v, k) for k, v in frames.items()}
+        return {k: f.result() for k, f in futures.items()}
