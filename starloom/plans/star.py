@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.clean import dedup_returns, repair_postal_code, with_return_flag
+from ..operators.joins import lookup_join
 from ..operators.keys import dense_key
 from ..schemas import FLAT_COLUMNS
 from ..session import materialize, materialize_all
@@ -182,7 +183,9 @@ class StarV1(_Model):
         if "manager" in need:
             df = df.join(self.manager_dim, "region")
         if need & {"order_date", "ship_date", "returned"}:
-            df = df.join(self.order_dim, "order_id")
+            # order_dim comes out of a join on order_id, so Spark would reuse its
+            # partitioning and skip the exchange AQE needs to split a hot order
+            df = lookup_join(df, self.order_dim, ["order_id"], "inner", "order_dim")
         if need & set(PRODUCT_KEY):
             df = df.join(self.product_dim, "product_id")
         if "ship_mode" in need:

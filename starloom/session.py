@@ -48,21 +48,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
     setting ``spark.checkpoint.dir``.  Only a local master may fall back to a
     private scratch folder; a cluster without the setting is an error.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get(_CKPT_KEY, None) or sc.getConf().get(_CKPT_KEY, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get(_CKPT_KEY, None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get(_CKPT_KEY, None)
     if not configured:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder "
                 "(HDFS/object store) reachable by every executor")
-        configured = tempfile.mkdtemp(prefix="starloom-ckpt-")
+        configured = _LOCAL_SCRATCH.setdefault("dir", tempfile.mkdtemp(prefix="starloom-ckpt-"))
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared checkpoint folder and read it back.
 

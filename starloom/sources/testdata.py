@@ -31,11 +31,11 @@ REVIEW_SKIP_REMAINDER = 49
 NO_ACCURACY_MODULUS = 97             # accuracy score NULL when partkey % 97 == 0
 
 
-# Reader DataFrames per (application, path).  The test tables are read-only,
+# Reader DataFrames per (session, path).  The test tables are read-only,
 # so the file listing and footer schema of a path are resolved once per
 # application instead of on every query; the plans stay lazy and every query
 # still scans the files.
-_READERS: dict[tuple[str, str], DataFrame] = {}
+_READERS: dict[tuple[str, str], DataFrame] = {}  # (session id, path) -> reader
 
 
 class TestData:
@@ -49,7 +49,7 @@ class TestData:
 
     def table(self, name: str) -> DataFrame:
         path = f"{self.sf_dir}/{name}.parquet"
-        key = (self.spark.sparkContext.applicationId, path)
+        key = (str(id(self.spark)), path)
         df = _READERS.get(key)
         if df is None or df.sparkSession is not self.spark:
             df = self.spark.read.parquet(path)
