@@ -85,7 +85,7 @@ def queries() -> dict[str, Query]:
     q["star_v2"] = lambda s, d: star_v2(s, d).row_counts()
     q["star_flatten_v2"] = lambda s, d: star_v2(s, d).flatten()
 
-    # superstore marts
+    # retail marts
     q["wide_orders"] = wide
     q["returns_count_by_year"] = lambda s, d: marts.returns_count_by_year(wide(s, d))
     q["pivot_sales_category_year"] = lambda s, d: marts.pivot_sales_category_year(

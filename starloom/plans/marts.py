@@ -1,4 +1,4 @@
-"""H4: superstore dashboard marts.
+"""H4: retail dashboard marts.
 
 Counting per order is done in two aggregation stages (order, then group)
 instead of several COUNT DISTINCTs: each stage is a partial + final hash

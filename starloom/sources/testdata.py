@@ -56,7 +56,7 @@ class TestData:
             _READERS[key] = df
         return df
 
-    # -- superstore analog ---------------------------------------------------
+    # -- retail analog ---------------------------------------------------------
     def flat_orders(self) -> DataFrame:
         nation = self.table("nation").select("n_nationkey", "n_name", "n_regionkey")
         region = self.table("region").select("r_regionkey", "r_name")

@@ -30,6 +30,13 @@ PEOPLE_REF = [("Anna Andreadi", "West"), ("Chuck Magee", "East"), ("Kelly Willia
               ("Cassandra Brandow", "South")]
 
 
+# fixed values: the first ten rows of the returns sheet (one order four times)
+RETURNS_REF = [("Yes", "CA-2016-100762"), ("Yes", "CA-2016-100762"), ("Yes", "CA-2016-100762"),
+               ("Yes", "CA-2016-100762"), ("Yes", "CA-2016-100867"), ("Yes", "CA-2016-102652"),
+               ("Yes", "CA-2016-102652"), ("Yes", "CA-2016-102652"), ("Yes", "CA-2016-102652"),
+               ("Yes", "CA-2016-103373")]
+
+
 def people(spark, rows=PEOPLE_REF):
     return spark.createDataFrame(rows, schemas.PEOPLE_SCHEMA)
 

@@ -1,6 +1,6 @@
 from starloom.operators.clean import conform_orders, dedup_returns, repair_postal_code, with_return_flag
 
-from .fixtures import flat, order_line, returns
+from .fixtures import RETURNS_REF, flat, order_line, returns
 
 
 def test_repair_overwrites_every_row_of_the_state(spark):
@@ -13,11 +13,11 @@ def test_repair_overwrites_every_row_of_the_state(spark):
 
 
 def test_returns_dedup_reference_rows_and_conflict(spark):
-    # first rows of the returns sheet: one order four times; one order with two flags
-    r = returns(spark, [("Yes", "CA-2017-153822")] * 4 + [("Yes", "CA-2017-129707"), ("No", "X-1"),
-                                                         ("Yes", "X-1"), ("Yes", None)])
+    # first rows of the returns sheet, plus one order with two flags and a NULL id
+    r = returns(spark, RETURNS_REF + [("No", "X-1"), ("Yes", "X-1"), ("Yes", None)])
     got = sorted(tuple(x) for x in dedup_returns(r).collect())
-    assert got == [("Yes", "CA-2017-129707"), ("Yes", "CA-2017-153822"), ("Yes", "X-1")]
+    assert got == [("Yes", "CA-2016-100762"), ("Yes", "CA-2016-100867"), ("Yes", "CA-2016-102652"),
+                   ("Yes", "CA-2016-103373"), ("Yes", "X-1")]
 
 
 def test_return_flag_default(spark):
