@@ -95,3 +95,16 @@ def materialize_all(frames: dict[str, DataFrame], max_workers: int = 8) -> dict[
     with ThreadPoolExecutor(max_workers=min(max_workers, len(frames))) as pool:
         futures = {k: pool.submit(materialize, v, k) for k, v in frames.items()}
         return {k: f.result() for k, f in futures.items()}
+
+
+def release(spark: SparkSession) -> None:
+    """Remove this application's materialised intermediates once nothing reads
+    them any more (end of a batch run).  Only a local folder is removed here;
+    a cluster's shared checkpoint folder follows its own retention policy."""
+    import shutil
+    from urllib.parse import urlparse
+
+    base = os.path.join(checkpoint_dir(spark), "starloom")
+    parsed = urlparse(base)
+    if parsed.scheme in ("", "file"):
+        shutil.rmtree(parsed.path if parsed.scheme else base, ignore_errors=True)

@@ -23,6 +23,8 @@ def spark():
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="starloom-test-ckpt-"))
     yield s
+    from starloom.session import release
+    release(s)
     s.stop()
 
 
