@@ -25,14 +25,14 @@ at most ``SINGLE_TASK_MAX_ROWS`` is the one-window form used.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
 
-_PID, _MID, _START, _CNT = "__pid", "__mid", "__start", "__cnt"
+_PID, _MID, _START, _CNT, _GID = "__pid", "__mid", "__start", "__cnt", "__gid"
 
 # design bound: rows one task may number on its own (short keys: well under 1 GB)
 SINGLE_TASK_MAX_ROWS = 1_000_000
@@ -91,3 +91,39 @@ def dense_key(df: DataFrame, natural_key: Sequence[str], out_col: str, offset: i
     distinct = df.select(*natural_key).distinct()
     keyed = row_number(distinct, list(natural_key), out_col, offset, single_task_max_rows)
     return keyed.select(out_col, *natural_key)
+
+
+def dense_keys(df: DataFrame, specs: Mapping[str, tuple[Sequence[str], str, int]],
+               single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> dict[str, DataFrame]:
+    """Several dense keys from one pass: name -> (natural key, out_col, offset).
+
+    GROUPING SETS computes the distinct values of every natural key in one
+    aggregation (one scan, partial aggregation, one shuffle), written once;
+    each set is then numbered like ``dense_key``.  The per-set row counts
+    (one row per set) choose the numbering form.  Specs may share a natural
+    key (e.g. the same ship modes with two offsets)."""
+    cols: list[str] = []
+    sets: list[list[str]] = []
+    for keys, _, _ in specs.values():
+        for c in keys:
+            if c not in cols:
+                cols.append(c)
+        if list(keys) not in sets:
+            sets.append(list(keys))
+    n = len(cols)
+
+    def gid(keys: Sequence[str]) -> int:
+        return sum(1 << (n - 1 - i) for i, c in enumerate(cols) if c not in keys)
+
+    snap = materialize(df.groupingSets(sets, *cols).agg(F.grouping_id().alias(_GID)), "keysets")
+    counts = {r[_GID]: r["count"] for r in snap.groupBy(_GID).count().collect()}  # one row per set
+    out = {}
+    for name, (keys, out_col, offset) in specs.items():
+        g = gid(keys)
+        part = snap.where(F.col(_GID) == g).select(*keys)
+        if counts.get(g, 0) <= single_task_max_rows:
+            keyed = row_number_single(part, list(keys), out_col, offset)
+        else:
+            keyed = row_number_global(part, list(keys), out_col, offset)
+        out[name] = keyed.select(out_col, *keys)
+    return out

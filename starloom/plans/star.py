@@ -8,7 +8,9 @@ Plan shape:
   * the flat table is written once to the shared checkpoint folder; B1 is a
     projection over it, and every dimension and the fact read it from there
     (column pruned);
-  * surrogate keys come from the distributed dense-key operator (2.7);
+  * surrogate keys come from the dense-key operator (2.7); the natural-key
+    sets of all numbered dimensions of both models are computed in one
+    GROUPING SETS pass over staging and written once;
   * natural keys are resolved with plain equi joins; Spark/AQE broadcast a
     dimension only when its measured size is under the threshold, otherwise
     shuffle-join it (skewed keys split by AQE);
@@ -19,7 +21,6 @@ and one dimension does not build the rest.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import dedup_returns, repair_postal_code, with_return_flag
 from ..operators.joins import lookup_join
-from ..operators.keys import dense_key
+from ..operators.keys import dense_keys
 from ..schemas import FLAT_COLUMNS
 from ..session import materialize, materialize_all
 
@@ -38,6 +39,13 @@ CUSTOMER_COLS = ["customer_id", "customer_name", "segment"]
 SHIP_ID_OFFSET_V1 = 100          # v1 numbers ship modes from 101; v2 from 1
 FACT_COLUMNS = ["row_id", "ship_id", "sales", "quantity", "discount", "profit", "order_id",
                 "product_id", "customer_id", "deliver_id"]
+# every numbered dimension of both models, built from one pass over staging
+KEY_SPECS = {
+    "product": (PRODUCT_KEY, "product_id", 0),
+    "deliver": (DELIVER_KEY, "deliver_id", 0),
+    "ship": (["ship_mode"], "ship_id", SHIP_ID_OFFSET_V1),
+    "ship_v2": (["ship_mode"], "ship_id", 0),
+}
 HEADER_COLUMNS = ["order_id", "order_date", "ship_date", "manager", "returned", "ship_id",
                   "deliver_id", "customer_id"]
 DETAIL_COLUMNS = ["sales", "quantity", "profit", "discount", "product_id", "order_id"]
@@ -67,15 +75,12 @@ class _Model:
         repaired table share one snapshot."""
         return repair_postal_code(self.raw_staging, self._repair_state)
 
-    def prefetch(self, *names: str) -> None:
-        """Build independent tables concurrently (separate Spark jobs from
-        driver threads).  The shared staging snapshot is resolved first, in the
-        calling thread, so the threads only read it."""
-        self.staging  # noqa: B018
-        todo = [n for n in names if n not in self.__dict__]
-        if len(todo) > 1:
-            with ThreadPoolExecutor(max_workers=len(todo)) as pool:
-                list(pool.map(lambda n: getattr(self, n), todo))
+    @cached_property
+    def keyed(self) -> dict[str, DataFrame]:
+        """Numbered dimensions of both models from one GROUPING SETS pass."""
+        if self._shared is not None:
+            return self._shared.keyed
+        return dense_keys(self.staging, KEY_SPECS)
 
     @cached_property
     def returns_dedup(self) -> DataFrame:
@@ -87,14 +92,10 @@ class _Model:
         return self.staging.select(*CUSTOMER_COLS).distinct()
 
     def _product(self) -> DataFrame:
-        if self._shared is not None:
-            return self._shared._product_table()
-        return dense_key(self.staging, PRODUCT_KEY, "product_id")
+        return self.keyed["product"]
 
     def _deliver(self) -> DataFrame:
-        if self._shared is not None:
-            return self._shared._deliver_table()
-        return dense_key(self.staging, DELIVER_KEY, "deliver_id")
+        return self.keyed["deliver"]
 
     def tables(self) -> dict[str, DataFrame]:
         raise NotImplementedError
@@ -136,7 +137,7 @@ class StarV1(_Model):
 
     @cached_property
     def ship_dim(self) -> DataFrame:
-        return dense_key(self.staging, ["ship_mode"], "ship_id", offset=SHIP_ID_OFFSET_V1)
+        return self.keyed["ship"]
 
     @cached_property
     def product_dim(self) -> DataFrame:
@@ -149,7 +150,6 @@ class StarV1(_Model):
 
     @cached_property
     def sales_fact(self) -> DataFrame:
-        self.prefetch("product_dim", "deliver_dim", "ship_dim")
         return (self.staging
                 .join(self.product_dim, PRODUCT_KEY)
                 .join(self.deliver_dim, DELIVER_KEY)
@@ -159,14 +159,7 @@ class StarV1(_Model):
     def _customer_table(self) -> DataFrame:
         return self.customer_dim
 
-    def _product_table(self) -> DataFrame:
-        return self.product_dim
-
-    def _deliver_table(self) -> DataFrame:
-        return self.deliver_dim
-
     def tables(self) -> dict[str, DataFrame]:
-        self.prefetch("product_dim", "deliver_dim", "ship_dim")
         return {"customer_dim": self.customer_dim, "manager_dim": self.manager_dim,
                 "deliver_dim": self.deliver_dim, "order_dim": self.order_dim,
                 "product_dim": self.product_dim, "ship_dim": self.ship_dim,
@@ -209,7 +202,7 @@ class StarV2(_Model):
 
     @cached_property
     def ship_dim_v2(self) -> DataFrame:
-        return dense_key(self.staging, ["ship_mode"], "ship_id")
+        return self.keyed["ship_v2"]
 
     @cached_property
     def product_dim_v2(self) -> DataFrame:
@@ -241,7 +234,6 @@ class StarV2(_Model):
         deduplicated so identical lookup rows cannot fan out.  Keys of the
         joined dimensions are unique by construction, hence the output is
         already distinct."""
-        self.prefetch("ship_dim_v2", "deliver_dim_v2", "product_dim_v2")
         header = self.staging.select("order_id", "order_date", "ship_date", "customer_id", "ship_mode",
                                      *DELIVER_KEY).distinct()
         people = self._people.select("region", F.col("person").alias("manager")).distinct()
@@ -254,11 +246,9 @@ class StarV2(_Model):
     @cached_property
     def order_details_v2(self) -> DataFrame:
         """Lines with measures and the product key."""
-        self.prefetch("ship_dim_v2", "deliver_dim_v2", "product_dim_v2")
         return self.staging.join(self.product_dim_v2, PRODUCT_KEY).select(*DETAIL_COLUMNS)
 
     def tables(self) -> dict[str, DataFrame]:
-        self.prefetch("ship_dim_v2", "deliver_dim_v2", "product_dim_v2")
         return {"ship_dim_v2": self.ship_dim_v2, "product_dim_v2": self.product_dim_v2,
                 "deliver_dim_v2": self.deliver_dim_v2, "customer_dim_v2": self.customer_dim_v2,
                 "orders_v2": self.orders_v2, "order_details_v2": self.order_details_v2}

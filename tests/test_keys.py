@@ -44,3 +44,17 @@ def test_global_plan_has_no_single_partition_data_exchange(spark):
     # the only single-partition step is the window over one row per partition,
     # which sits under the broadcast of the offsets
     assert "Exchange SinglePartition" not in plan.split("BroadcastExchange")[0]
+
+
+def test_dense_keys_one_pass_equals_separate_keys(spark):
+    from starloom.operators.keys import dense_keys
+    df = spark.createDataFrame(
+        [("a", "x", 1), ("b", "x", None), ("a", "y", 2), (None, "y", 2), ("b", "x", None)],
+        "p string, q string, r int")
+    specs = {"pq": (["p", "q"], "id_pq", 0), "r": (["r"], "id_r", 100), "r0": (["r"], "id_r0", 0),
+             "q": (["q"], "id_q", 0)}
+    for limit in (1_000_000, 0):
+        got = dense_keys(df, specs, single_task_max_rows=limit)
+        for name, (keys, out, off) in specs.items():
+            want = dense_key(df, keys, out, off)
+            assert sorted(tuple(r) for r in got[name].collect()) == sorted(tuple(r) for r in want.collect()), name
