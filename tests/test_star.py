@@ -68,3 +68,14 @@ def test_order_header_is_one_row_per_order(spark):
     f, _, _, _, v2 = _models(spark)
     h = v2.orders_v2
     assert h.count() == h.select("order_id").distinct().count() == f.select("order_id").distinct().count()
+
+
+def test_identical_detail_lines_survive_as_multiset(spark):
+    from .fixtures import flat, order_line
+    f = flat(spark, [order_line(1, order_id="A", sales="5.00"), order_line(2, order_id="A", sales="5.00"),
+                     order_line(3, order_id="B")])
+    v2 = StarV2(f, people(spark), returns(spark, []), "Vermont")
+    details = v2.order_details_v2.where(F.col("order_id") == "A")
+    assert details.count() == 2 and details.distinct().count() == 1
+    cols = [c for c in FLAT_COLUMNS if c != "row_id"]
+    assert _ms(v2.flatten(), cols) == _ms(_expected_flat(f, people(spark), returns(spark, [])), cols)
