@@ -104,7 +104,13 @@ def release(spark: SparkSession) -> None:
     import shutil
     from urllib.parse import urlparse
 
-    base = os.path.join(checkpoint_dir(spark), "starloom")
+    try:
+        per_app = spark.sparkContext.getCheckpointDir()  # Spark's per-application subfolder
+    except Exception:  # noqa: BLE001 - no SparkContext: the folder may be shared, keep it
+        return
+    if not per_app:
+        return
+    base = os.path.join(per_app, "starloom")
     parsed = urlparse(base)
     if parsed.scheme in ("", "file"):
         shutil.rmtree(parsed.path if parsed.scheme else base, ignore_errors=True)
