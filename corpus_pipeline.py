@@ -10,15 +10,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import decontaminate, exact_dedup, mixing
+from starloom.llm import decontaminate, exact_dedup, mixing, ngram_join, quality
 from starloom.llm.common import materialize, table
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.drop_poor(docs, table(spark, sf_dir, "labels"))
+
+
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     return exact_dedup.drop_copies(docs)
 
 
+def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of linked documents stays."""
+    return ngram_join.drop_near_copies(docs)
+
+
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -31,7 +41,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
+    ("quality_classifier", quality_stage),
     ("exact_dedup", exact_dedup_stage),
+    ("ngram_jaccard_join", ngram_join_stage),
     ("decontamination", decontamination_stage),
     ("mixing", mixing_stage),
 ]
