@@ -278,7 +278,8 @@ def _blocks(docs: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
 
     kind = T.StructType([T.StructField("grams", T.BinaryType()), T.StructField("sig", T.BinaryType())])
     texts = docs.select(F.col("doc_id"), _key(F.col("text")).alias("key"), "text")
-    found = texts.join(placed, "key").filter(F.col("doc_id").eqNullSafe(F.col("rep"))).withColumn(
+    # both sides grow with the input: one plan at every size, and the texts move once
+    found = texts.join(placed.hint("merge"), "key").filter(F.col("doc_id").eqNullSafe(F.col("rep"))).withColumn(
         "made", F.arrow_udf(make, kind)(F.col("text")))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = found.select("node", "copies", "comp", "blocks", "block", "made.grams", "made.sig", other.alias("other"))
