@@ -123,6 +123,8 @@ def _record(data: bytes, at: int) -> tuple[dict, int]:
         if not colon:
             raise Broken("header line without a name")
         fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+    if "warc-type" not in fields or "warc-record-id" not in fields:
+        raise Broken("no record type or id")
     length = fields.get("content-length", "")
     if not (length.isascii() and length.isdigit() and len(length) < 16):
         raise Broken("no content length")
