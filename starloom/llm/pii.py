@@ -15,8 +15,10 @@ with separators, tokens with an at sign).  Its labels are the four kinds and
 
 Training is piecewise: the potentials are smoothed log-odds of counts over all
 documents (shape and label, neighbouring labels, linked labels), with the base
-spans as labels, so a candidate that repeats a phone number elsewhere in the
-text without its plus sign takes its label.  Inference is loopy belief
+spans as labels.  A link between a base span and a candidate counts as unobserved
+there: that no pattern matches a candidate says nothing of whether it repeats the
+span's data.  So a candidate that repeats a phone number elsewhere in the text
+without its plus sign takes its label.  Inference is loopy belief
 propagation, all messages of a document at once.  A candidate whose belief in a
 kind is over one half becomes a span of that kind.
 
@@ -47,7 +49,7 @@ KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
 LEAST_DIGITS, MOST_DIGITS, TAIL = 7, 24, 9
 #: Bounds of the log-odds that one node, neighbour or skip link can bring.
-NODE_BOUND, CHAIN_BOUND, SKIP_BOUND = 2.5, 1.0, 5.0
+NODE_BOUND, CHAIN_BOUND, SKIP_BOUND = 2.5, 0.5, 5.0
 ROUNDS, DAMPING = 12, 0.5
 
 _HAS = re.compile(r"[0-9@]")
@@ -175,7 +177,8 @@ def count_potentials(docs: DataFrame, text_col: str = "text") -> dict[tuple[str,
                 units = units_of(text or "")
                 found.update((f"node {s}", str(k)) for _, _, k, s, _ in units)
                 found.update((f"chain {a[2]}", str(b[2])) for a, b in zip(units, units[1:]))
-                found.update((f"skip {units[a][2]}", str(units[b][2])) for a, b in links([u[4] for u in units]))
+                found.update((f"skip {units[a][2]}", str(units[b][2])) for a, b in links([u[4] for u in units])
+                             if (units[a][2] == NONE) == (units[b][2] == NONE))
         yield pa.RecordBatch.from_pylist([{"what": w, "label": k, "n": n} for (w, k), n in found.items()],
                                          pa.schema([("what", pa.string()), ("label", pa.string()), ("n", pa.int64())]))
 
@@ -198,13 +201,16 @@ class Field:
             p = c + self.prior
             self.nodes[s] = np.clip(np.log(p / p[NONE]), -NODE_BOUND, NODE_BOUND)
 
-        def odds(kind: str, bound: float) -> np.ndarray:
-            pairs = np.array([[counts.get((f"{kind} {a}", str(b)), 0) for b in range(n)] for a in range(n)], float)
-            pairs = pairs + pairs.T + np.eye(n) + 1.0 / n
-            p = pairs / pairs.sum()
-            return np.clip(np.log(p / np.outer(p.sum(1), p.sum(0))), -bound, bound)
+        def pairs(kind: str) -> np.ndarray:
+            c = np.array([[counts.get((f"{kind} {a}", str(b)), 0) for b in range(n)] for a in range(n)], float)
+            c = c + c.T + np.eye(n) + 1.0 / n
+            return c / c.sum()
 
-        self.chain, self.skip = odds("chain", CHAIN_BOUND), odds("skip", SKIP_BOUND)
+        p = pairs("chain")
+        self.chain = np.clip(np.log(p / np.outer(p.sum(1), p.sum(0))), -CHAIN_BOUND, CHAIN_BOUND)
+        p = pairs("skip")
+        p = np.log(p / np.sqrt(np.outer(p.diagonal(), p.diagonal())))  # 0 for equal labels
+        self.skip = np.clip(p, -SKIP_BOUND, 0.0)
 
     def beliefs(self, units: list[tuple[int, int, int, str, str]]) -> np.ndarray:
         """P(label) of every unit, by loopy belief propagation in log space."""
