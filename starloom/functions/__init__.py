@@ -1,3 +1,3 @@
-from .exact import half_up_div, scaled_decimal, percent_label, money
+from .exact import exact_sum, half_up_div, money, percent_label, scaled_decimal, whole_units
 
-__all__ = ["half_up_div", "scaled_decimal", "percent_label", "money"]
+__all__ = ["exact_sum", "half_up_div", "money", "percent_label", "scaled_decimal", "whole_units"]

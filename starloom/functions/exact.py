@@ -9,8 +9,9 @@ its own decimal or float rules are.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 
 def half_up_div(num: str, den: str) -> Column:
@@ -44,6 +45,21 @@ def percent_label(value: Column, scale: int) -> Column:
     return F.concat_ws("", text, F.lit("%"))
 
 
+def exact_sum(df: DataFrame, name: str, of: Column | None = None) -> Column:
+    """The unrounded sum of a decimal column (or of ``of``, a choice of its
+    values), in the column's own scale."""
+    kind = df.schema[name].dataType
+    scale = kind.scale if isinstance(kind, DecimalType) else 0
+    return F.sum(F.col(name) if of is None else of).cast(f"decimal(38,{scale})")
+
+
+def whole_units(name: str, scale: int) -> str:
+    """SQL for a decimal column of that scale as a whole number of 10^-scale
+    units, exact over all 38 digits (a product would have to shrink its scale)."""
+    text = f"cast(cast({name} as decimal(38,{scale})) as string)"
+    return f"cast(replace({text}, '.', '') as decimal(38,0))"
+
+
 def money(col: Column | str, scale: int = 2) -> Column:
     """A money amount in the report precision: decimal(38, scale)."""
     c = F.col(col) if isinstance(col, str) else col

@@ -61,14 +61,18 @@ def fit_violation(col: str, declared: str) -> Column:
 
 def conform_orders(df: DataFrame) -> DataFrame:
     """Flat orders in the engine types plus ``violations``: the
-    comma-separated names of the columns that break the declared model
-    (NOT NULL or width), '' when none.  Nothing fails, nothing is dropped;
-    the audits J3/J4 count the same rules."""
+    comma-separated names of the columns that break the declared model (NOT
+    NULL or width) or whose value the engine type can't hold as it is ('' when
+    none).  A value out of the type's range becomes NULL and is listed; nothing
+    fails and no row is dropped.  The audits J3/J4 count the declared rules."""
+    engine = {f.name: F.expr(f"try_cast(`{f.name}` as {f.dataType.simpleString()})") for f in schemas.ORDERS_SCHEMA.fields}
+    raw = dict(df.dtypes)
     checks = []
     for name, declared, nullable in schemas.ORDER_COLUMNS:
         bad = fit_violation(name, declared)
         if not nullable:
             bad = bad | F.col(name).isNull()
+        if raw[name] != schemas.ORDERS_SCHEMA[name].dataType.simpleString():
+            bad = bad | (F.col(name).isNotNull() & F.coalesce(engine[name] != F.col(name), F.lit(True)))
         checks.append(F.when(F.coalesce(bad, F.lit(False)), F.lit(name)))
-    engine = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.ORDERS_SCHEMA.fields]
-    return df.select(*engine, F.concat_ws(",", *checks).alias("violations"))
+    return df.select(*[c.alias(n) for n, c in engine.items()], F.concat_ws(",", *checks).alias("violations"))

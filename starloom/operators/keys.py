@@ -17,10 +17,6 @@ here gives the same numbers:
 
 Only the per-partition count table is ever small enough to sit in one task;
 no data row is funnelled anywhere.
-
-``row_number`` chooses between the two forms by a checked size: the input is
-written once, its row count read back (Parquet footers), and only when it is
-at most ``SINGLE_TASK_MAX_ROWS`` is the one-window form used.
 """
 
 from __future__ import annotations
@@ -34,9 +30,6 @@ from ..session import materialize
 
 _PID, _MID, _START, _CNT, _GID = "__pid", "__mid", "__start", "__cnt", "__gid"
 
-# design bound: rows one task may number on its own (short keys: well under 1 GB)
-SINGLE_TASK_MAX_ROWS = 1_000_000
-
 
 def _sort_exprs(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
@@ -67,40 +60,20 @@ def row_number_global(df: DataFrame, order: Sequence[Column | str], out_col: str
             .drop(_PID, _MID, _START))
 
 
-def row_number_single(df: DataFrame, order: Sequence[Column | str], out_col: str,
-                      offset: int = 0) -> DataFrame:
-    """Reference form: one global window.  Only for inputs of a known small
-    bound (tests compare it with ``row_number_global``)."""
-    w = Window.orderBy(*_sort_exprs(order))
-    return df.withColumn(out_col, (F.row_number().over(w) + F.lit(offset)).cast("long"))
-
-
-def row_number(df: DataFrame, order: Sequence[Column | str], out_col: str, offset: int = 0,
-               single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
-    """Row numbers over a total order, choosing the plan by a checked size."""
-    snap = materialize(df, "rownum_in")
-    if snap.count() <= single_task_max_rows:
-        return row_number_single(snap, order, out_col, offset)
-    return row_number_global(snap, order, out_col, offset)
-
-
-def dense_key(df: DataFrame, natural_key: Sequence[str], out_col: str, offset: int = 0,
-              single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
+def dense_key(df: DataFrame, natural_key: Sequence[str], out_col: str, offset: int = 0) -> DataFrame:
     """Distinct natural keys numbered offset+1..offset+n in key order
     (binary string order, NULLs last).  Output: out_col, *natural_key."""
     distinct = df.select(*natural_key).distinct()
-    keyed = row_number(distinct, list(natural_key), out_col, offset, single_task_max_rows)
+    keyed = row_number_global(distinct, list(natural_key), out_col, offset)
     return keyed.select(out_col, *natural_key)
 
 
-def dense_keys(df: DataFrame, specs: Mapping[str, tuple[Sequence[str], str, int]],
-               single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> dict[str, DataFrame]:
+def dense_keys(df: DataFrame, specs: Mapping[str, tuple[Sequence[str], str, int]]) -> dict[str, DataFrame]:
     """Several dense keys from one pass: name -> (natural key, out_col, offset).
 
     GROUPING SETS computes the distinct values of every natural key in one
     aggregation (one scan, partial aggregation, one shuffle), written once;
-    each set is then numbered like ``dense_key``.  The per-set row counts
-    (one row per set) choose the numbering form.  Specs may share a natural
+    each set is then numbered like ``dense_key``.  Specs may share a natural
     key (e.g. the same ship modes with two offsets)."""
     cols: list[str] = []
     sets: list[list[str]] = []
@@ -116,14 +89,10 @@ def dense_keys(df: DataFrame, specs: Mapping[str, tuple[Sequence[str], str, int]
         return sum(1 << (n - 1 - i) for i, c in enumerate(cols) if c not in keys)
 
     snap = materialize(df.groupingSets(sets, *cols).agg(F.grouping_id().alias(_GID)), "keysets")
-    counts = {r[_GID]: r["count"] for r in snap.groupBy(_GID).count().collect()}  # one row per set
     out = {}
     for name, (keys, out_col, offset) in specs.items():
         g = gid(keys)
         part = snap.where(F.col(_GID) == g).select(*keys)
-        if counts.get(g, 0) <= single_task_max_rows:
-            keyed = row_number_single(part, list(keys), out_col, offset)
-        else:
-            keyed = row_number_global(part, list(keys), out_col, offset)
+        keyed = row_number_global(part, list(keys), out_col, offset)
         out[name] = keyed.select(out_col, *keys)
     return out

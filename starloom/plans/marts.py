@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import half_up_div, money, scaled_decimal
+from ..functions import exact_sum, half_up_div, money, scaled_decimal
 from ..operators.clean import dedup_returns, with_return_flag
 from ..schemas import FLAT_COLUMNS
 
@@ -51,11 +51,18 @@ def returns_count_by_year(wide: DataFrame) -> DataFrame:
 
 
 def pivot_sales_category_year(flat: DataFrame, categories: Sequence[str]) -> DataFrame:
-    """Sales by year (rows) and category (columns).  The category list is
-    explicit, so Spark needs no extra job to discover the pivot values."""
-    p = (flat.groupBy(F.year("order_date").cast("long").alias("year"))
-         .pivot("category", list(categories)).agg(F.sum("sales")))
-    return p.select("year", *[money(F.col(c)).alias(c) for c in categories]).orderBy("year")
+    """Sales by year (rows) and category (columns).  The columns are an
+    explicit list, so the result's schema doesn't depend on the data; sales of
+    every category outside it, null included, are in ``other``, and ``total`` is
+    the sum of all lines."""
+    def sales(of: Column) -> Column:
+        return exact_sum(flat, "sales", F.when(of, F.col("sales")))
+
+    listed = F.coalesce(F.col("category").isin(list(categories)), F.lit(False))
+    return (flat.groupBy(F.year("order_date").cast("long").alias("year"))
+            .agg(*[sales(F.col("category") == c).alias(c) for c in categories],
+                 sales(~listed).alias("other"), sales(F.lit(True)).alias("total"))
+            .orderBy("year"))
 
 
 def manager_performance(wide: DataFrame) -> DataFrame:

@@ -12,8 +12,8 @@ Plan rules:
     before aggregation, home-level thresholds (reviews, bedrooms, capacity)
     after it;
   * means are exact and rounded half-up: ratings to 4 digits, prices to 2.
-    Scores have one decimal, so sums are kept in integral tenths (overall
-    rating in sixtieths) and divided once with ``half_up_div``.
+    Scores have up to four decimals, so sums are kept in integral units of 10^-4
+    (overall rating in sixths of that) and divided once with ``half_up_div``.
 """
 
 from __future__ import annotations
@@ -42,23 +42,24 @@ class HomeFilter:
     min_capacity: int = 0
 
 
-def _tenths(c: str) -> Column:
-    return (F.col(c) * 10).cast("long")
+def _units(c: str) -> Column:
+    """A score in units of 10^-4, the scale of the listings schema."""
+    return (F.col(c).cast("decimal(9,4)") * 10000).cast("long")
 
 
 def overall_units(listings: DataFrame) -> Column:
-    """B4 in sixtieths: 60 * (rating + mean of six scores) = 6*rating10 + sum10.
+    """B4 in sixths of 10^-4: 6 * rating + sum of the six scores, all in units.
     NULL if any input is NULL."""
     score_sum = None
     for c in SCORE_COLUMNS:
-        score_sum = _tenths(c) if score_sum is None else score_sum + _tenths(c)
-    return F.lit(6) * _tenths("review_scores_rating") + score_sum
+        score_sum = _units(c) if score_sum is None else score_sum + _units(c)
+    return F.lit(6) * _units("review_scores_rating") + score_sum
 
 
 def overall_rating(listings: DataFrame) -> DataFrame:
     """listing_id, overall_rating (4 digits)."""
     return (listings.select("listing_id", overall_units(listings).alias("__u"))
-            .select("listing_id", scaled_decimal(half_up_div("__u * 10000", "60"), 4, 10).alias("overall_rating")))
+            .select("listing_id", scaled_decimal(half_up_div("__u", "6"), 4, 10).alias("overall_rating")))
 
 
 def reviews_per_listing(reviews: DataFrame, year: int | None = None) -> DataFrame:
@@ -90,7 +91,7 @@ def listing_review_table(listings: DataFrame, reviews: DataFrame) -> DataFrame:
     """C8 as a table: listing attributes, overall rating, review count, last review."""
     lr = listing_reviews(listings, reviews)
     return lr.select("listing_id", *HOME_KEY, "room_type", "bedrooms", "accommodates", "price",
-                     scaled_decimal(half_up_div("__u * 10000", "60"), 4, 10).alias("overall_rating"),
+                     scaled_decimal(half_up_div("__u", "6"), 4, 10).alias("overall_rating"),
                      "reviews", "last_review")
 
 
@@ -114,19 +115,19 @@ def home_scorecard(listings: DataFrame, reviews: DataFrame, flt: HomeFilter = Ho
             F.max("last_review").alias("last_review"),
             latest.alias("__latest"),
             F.sum("__u").alias("__u_sum"), F.count("__u").alias("__u_n"),
-            F.sum(_tenths("review_scores_rating")).alias("__r_sum"), F.count("review_scores_rating").alias("__r_n"),
+            F.sum(_units("review_scores_rating")).alias("__r_sum"), F.count("review_scores_rating").alias("__r_n"),
             F.sum((F.col("price") * 100).cast("long")).alias("__p_sum"), F.count("price").alias("__p_n")]
     for i, c in enumerate(SCORE_COLUMNS):
-        aggs += [F.sum(_tenths(c)).alias(f"__s{i}_sum"), F.count(c).alias(f"__s{i}_n")]
+        aggs += [F.sum(_units(c)).alias(f"__s{i}_sum"), F.count(c).alias(f"__s{i}_n")]
     h = lr.groupBy(*home_key).agg(*aggs)
     cols = [*home_key, "listings", "reviews", "last_review",
             F.col("__latest.listing_id").alias("latest_listing_id"),
             F.col("__latest.bedrooms").alias("bedrooms"),
             F.col("__latest.accommodates").alias("accommodates"),
-            scaled_decimal(half_up_div("__u_sum * 10000", "__u_n * 60"), 4, 10).alias("home_rating"),
-            _mean4("__r_sum", "__r_n", "1000").alias("review_scores_rating"),
+            scaled_decimal(half_up_div("__u_sum", "__u_n * 6"), 4, 10).alias("home_rating"),
+            _mean4("__r_sum", "__r_n", "1").alias("review_scores_rating"),
             scaled_decimal(half_up_div("__p_sum", "__p_n"), 2, 12).alias("avg_price")]
-    cols += [_mean4(f"__s{i}_sum", f"__s{i}_n", "1000").alias(c) for i, c in enumerate(SCORE_COLUMNS)]
+    cols += [_mean4(f"__s{i}_sum", f"__s{i}_n", "1").alias(c) for i, c in enumerate(SCORE_COLUMNS)]
     return h.select(*cols)
 
 
@@ -152,12 +153,12 @@ def filter_homes(listings: DataFrame, reviews: DataFrame, flt: HomeFilter) -> Da
 def _area_rating(listings: DataFrame, area: Sequence[str]) -> DataFrame:
     """Mean per home first (4 / 2 digits), then mean of the home means per area."""
     per_home = (listings.groupBy(*HOME_KEY)
-                .agg(F.sum(_tenths("review_scores_rating")).alias("__r_sum"),
+                .agg(F.sum(_units("review_scores_rating")).alias("__r_sum"),
                      F.count("review_scores_rating").alias("__r_n"),
                      F.sum((F.col("price") * 100).cast("long")).alias("__p_sum"), F.count("price").alias("__p_n"),
                      F.count(F.lit(1)).alias("__listings"))
                 .select(*HOME_KEY, "__listings",
-                        half_up_div("__r_sum * 1000", "__r_n").alias("__rq"),
+                        half_up_div("__r_sum", "__r_n").alias("__rq"),
                         half_up_div("__p_sum", "__p_n").alias("__pq")))
     agg = (per_home.groupBy(*area)
            .agg(F.count(F.lit(1)).alias("homes"), F.sum("__listings").cast("long").alias("listings"),

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import half_up_div, money, percent_label, scaled_decimal
-from ..operators.keys import row_number
+from ..functions import exact_sum, half_up_div, money, percent_label, scaled_decimal, whole_units
+from ..operators.keys import row_number_global
 
 
 def total_sales(df: DataFrame) -> DataFrame:
@@ -27,10 +27,13 @@ def total_profit(df: DataFrame) -> DataFrame:
 
 def profit_ratio(df: DataFrame) -> DataFrame:
     """sum(profit)/sum(sales)*100 rounded half-up to 3 digits, value and
-    label.  Exact: q = round(P*10^7 / (S*100)) thousandths of a percent
-    (profit has 4 decimals, sales 2).  Empty input: NULL and '%'."""
-    sums = df.agg(F.sum("profit").alias("p"), F.sum("sales").alias("s"))
-    q = half_up_div("p * 10000000", "s * 100")
+    label.  Exact for any scale of the two columns: thousandths of a percent are
+    round(P * 10^5 / S) over whole units of each column's own scale.  Empty
+    input: NULL and '%'."""
+    sums = df.agg(exact_sum(df, "profit").alias("p"), exact_sum(df, "sales").alias("s"))
+    p, s = (sums.schema[c].dataType.scale for c in ("p", "s"))
+    shift = 5 + s - p
+    q = half_up_div(f"{whole_units('p', p)} * {10 ** max(0, shift)}", f"{whole_units('s', s)} * {10 ** max(0, -shift)}")
     value = scaled_decimal(q, 3, 12)
     return sums.select(percent_label(value, 3).alias("ratio"), value.alias("ratio_pct"))
 
@@ -43,7 +46,7 @@ def profit_per_order(df: DataFrame) -> DataFrame:
 
 def sales_per_customer(df: DataFrame) -> DataFrame:
     """Sum of sales per customer id."""
-    return (df.groupBy("customer_id").agg(money(F.sum("sales")).alias("total_sales"))
+    return (df.groupBy("customer_id").agg(exact_sum(df, "sales").alias("total_sales"))
             .orderBy(F.col("total_sales").desc(), "customer_id"))
 
 
@@ -59,7 +62,7 @@ def avg_discount(df: DataFrame) -> DataFrame:
 def _monthly(df: DataFrame, dim: str) -> DataFrame:
     return (df.groupBy(F.year("order_date").cast("long").alias("year"),
                        F.month("order_date").cast("long").alias("month"), dim)
-            .agg(money(F.sum("sales")).alias("total_sales"))
+            .agg(exact_sum(df, "sales").alias("total_sales"))
             .orderBy("year", "month", dim))
 
 
@@ -81,17 +84,16 @@ def sales_by_category(df: DataFrame) -> DataFrame:
 def sales_profit_by_customer(df: DataFrame) -> DataFrame:
     """Two sums per customer, ordered by profit then sales (desc)."""
     return (df.groupBy("customer_id")
-            .agg(money(F.sum("sales")).alias("sales"), money(F.sum("profit"), 4).alias("profit"))
+            .agg(exact_sum(df, "sales").alias("sales"), exact_sum(df, "profit").alias("profit"))
             .orderBy(F.col("profit").desc(), F.col("sales").desc(), "customer_id"))
 
 
 def customer_ranking(df: DataFrame) -> DataFrame:
     """Rank customers by unrounded total sales (desc), ties by customer id.
 
-    The numbering picks its plan by checked size: a single window only for a
-    bounded customer count, the distributed range numbering beyond it."""
+    Numbered by ranges at every size: no task sees all customers."""
     per_customer = df.groupBy("customer_id").agg(F.sum("sales").alias("__sales"))
-    ranked = row_number(per_customer, [F.col("__sales").desc_nulls_last(), F.col("customer_id").asc()], "rank")
+    ranked = row_number_global(per_customer, [F.col("__sales").desc_nulls_last(), F.col("customer_id").asc()], "rank")
     return ranked.select("rank", "customer_id", money(F.round("__sales", 2)).alias("sales"))
 
 

@@ -130,10 +130,10 @@ ORDERS_SCHEMA = T.StructType([
     T.StructField("product_name", T.StringType(), True),
     T.StructField("category", T.StringType(), True),
     T.StructField("subcategory", T.StringType(), True),
-    T.StructField("sales", T.DecimalType(11, 2), True),
+    T.StructField("sales", T.DecimalType(15, 4), True),
     T.StructField("quantity", T.IntegerType(), True),
     T.StructField("discount", T.DecimalType(4, 2), True),
-    T.StructField("profit", T.DecimalType(21, 4), True),
+    T.StructField("profit", T.DecimalType(32, 16), True),
 ])
 
 PEOPLE_SCHEMA = T.StructType([
@@ -158,8 +158,8 @@ LISTINGS_SCHEMA = T.StructType(
      T.StructField("bedrooms", T.IntegerType(), True),
      T.StructField("accommodates", T.IntegerType(), True),
      T.StructField("price", T.DecimalType(10, 2), True),
-     T.StructField("review_scores_rating", T.DecimalType(5, 1), True)]
-    + [T.StructField(c, T.DecimalType(4, 1), True) for c in SCORE_COLUMNS])
+     T.StructField("review_scores_rating", T.DecimalType(7, 4), True)]
+    + [T.StructField(c, T.DecimalType(6, 4), True) for c in SCORE_COLUMNS])
 
 REVIEWS_SCHEMA = T.StructType([
     T.StructField("listing_id", T.LongType(), False),

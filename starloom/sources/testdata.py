@@ -16,7 +16,6 @@ Join plan of ``flat_orders`` (chosen for scale):
 
 from __future__ import annotations
 
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +25,6 @@ from .. import schemas
 # --- fixed values of the analog mapping -----------------------------------------
 VERMONT_ANALOG = "NATION_7"          # plays the state whose postal code is NULL
 RETURN_FLAG_VALUE = "R"              # lineitem flag that marks a returned line
-REVIEW_SKIP_MODULUS = 50             # listings with partkey % 50 == 49 get no review
-REVIEW_SKIP_REMAINDER = 49
 NO_ACCURACY_MODULUS = 97             # accuracy score NULL when partkey % 97 == 0
 
 
@@ -145,12 +142,7 @@ class TestData:
     def reviews(self) -> DataFrame:
         li = self.table("lineitem").select("l_orderkey", "l_partkey", "l_shipdate")
         o = self.table("orders").select("o_orderkey", "o_custkey")
-        return (li.where(F.col("l_partkey") % REVIEW_SKIP_MODULUS != REVIEW_SKIP_REMAINDER)
-                .join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+        return (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
                 .select(F.col("l_partkey").alias("listing_id"),
                         F.col("l_shipdate").cast("date").alias("review_date"),
                         F.col("o_custkey").alias("reviewer_id")))
-
-    @cached_property
-    def tables(self) -> list[str]:
-        return ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]

@@ -1,6 +1,13 @@
 from pyspark.sql import functions as F
 
-from starloom.operators.keys import dense_key, row_number, row_number_global, row_number_single
+from pyspark.sql import Window
+
+from starloom.operators.keys import dense_key, row_number_global
+
+
+def row_number_single(df, order, out_col):
+    """Reference form: one window over all rows."""
+    return df.withColumn(out_col, F.row_number().over(Window.orderBy(*order)).cast("long"))
 
 
 def _pairs(df, key, out):
@@ -24,17 +31,9 @@ def test_dense_key_order_nulls_last_and_offset(spark):
     assert got == [(101, "B"), (102, "a"), (103, "b"), (104, None)]
 
 
-def test_checked_size_switch_gives_same_keys(spark):
-    df = spark.range(0, 3000).select((F.col("id") % 997).cast("string").alias("a"),
-                                      (F.col("id") % 3).alias("b"))
-    small = dense_key(df, ["a", "b"], "id")
-    large = dense_key(df, ["a", "b"], "id", single_task_max_rows=0)
-    assert sorted(tuple(r) for r in small.collect()) == sorted(tuple(r) for r in large.collect())
-
-
 def test_descending_order_with_tie_break(spark):
     df = spark.createDataFrame([("c1", 5), ("c2", 9), ("c3", 5), ("c4", 1)], "c string, v int")
-    out = row_number(df, [F.col("v").desc(), F.col("c").asc()], "rank", single_task_max_rows=0)
+    out = row_number_global(df, [F.col("v").desc(), F.col("c").asc()], "rank")
     assert [r.c for r in out.orderBy("rank").collect()] == ["c2", "c1", "c3", "c4"]
 
 
@@ -53,8 +52,7 @@ def test_dense_keys_one_pass_equals_separate_keys(spark):
         "p string, q string, r int")
     specs = {"pq": (["p", "q"], "id_pq", 0), "r": (["r"], "id_r", 100), "r0": (["r"], "id_r0", 0),
              "q": (["q"], "id_q", 0)}
-    for limit in (1_000_000, 0):
-        got = dense_keys(df, specs, single_task_max_rows=limit)
-        for name, (keys, out, off) in specs.items():
-            want = dense_key(df, keys, out, off)
-            assert sorted(tuple(r) for r in got[name].collect()) == sorted(tuple(r) for r in want.collect()), name
+    got = dense_keys(df, specs)
+    for name, (keys, out, off) in specs.items():
+        want = dense_key(df, keys, out, off)
+        assert sorted(tuple(r) for r in got[name].collect()) == sorted(tuple(r) for r in want.collect()), name
