@@ -7,7 +7,6 @@ Layers:
   operators  reusable DataFrame -> DataFrame operators (dense keys, repairs,
              audits, top-N)
   plans      compositions: report pack, star models v1/v2, marts, rental marts
-  streaming  nothing: the workload is batch only (see README)
 """
 
 __all__ = ["session", "sources", "functions", "operators", "plans"]
