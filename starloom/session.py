@@ -99,18 +99,14 @@ def materialize_all(frames: dict[str, DataFrame], max_workers: int = 8) -> dict[
 
 def release(spark: SparkSession) -> None:
     """Remove this application's materialised intermediates once nothing reads
-    them any more (end of a batch run).  Only a local folder is removed here;
-    a cluster's shared checkpoint folder follows its own retention policy."""
-    import shutil
-    from urllib.parse import urlparse
-
+    them any more (end of a batch run), on any file system that Spark reaches.
+    Only the application's own subfolder of the checkpoint folder is touched."""
     try:
-        per_app = spark.sparkContext.getCheckpointDir()  # Spark's per-application subfolder
+        sc = spark.sparkContext
+        per_app = sc.getCheckpointDir()  # Spark's per-application subfolder
     except Exception:  # noqa: BLE001 - no SparkContext: the folder may be shared, keep it
         return
     if not per_app:
         return
-    base = os.path.join(per_app, "starloom")
-    parsed = urlparse(base)
-    if parsed.scheme in ("", "file"):
-        shutil.rmtree(parsed.path if parsed.scheme else base, ignore_errors=True)
+    path = sc._jvm.org.apache.hadoop.fs.Path(os.path.join(per_app, "starloom"))
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
