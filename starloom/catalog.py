@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .operators.clean import conform_orders, dedup_returns, repair_postal_code, with_return_flag
 from .operators import audit
@@ -18,6 +19,7 @@ from .plans.star import DELIVER_KEY, PRODUCT_KEY
 from .schemas import MODEL_V1, MODEL_V2, ORDER_COLUMNS
 from .plans.star import StarV1, StarV2
 from .schemas import FLAT_COLUMNS
+from .session import materialize, shared
 from .sources.testdata import VERMONT_ANALOG, TestData
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,20 +34,29 @@ def _report(fn) -> Query:
 
 
 def star_v1(spark: SparkSession, sf_dir: str, stage: bool = True) -> StarV1:
-    """``stage=False`` when a single table is derived: the staging extract is
-    written only when several tables read it."""
+    """A model of its own; ``stage=False`` when a single table is derived."""
     td = TestData(spark, sf_dir)
     return StarV1(td.flat_orders(), td.people(), td.returns(), VERMONT_ANALOG, stage=stage)
 
 
-def star_v2(spark: SparkSession, sf_dir: str, stage: bool = True) -> StarV2:
-    td = TestData(spark, sf_dir)
-    return StarV2(td.flat_orders(), td.people(), td.returns(), VERMONT_ANALOG, stage=stage)
+def models(spark: SparkSession, sf_dir: str) -> tuple[StarV1, StarV2]:
+    """Both models over one extract.  Each of their tables is written when it is
+    first read, and from then on every report and audit of the session reads it."""
+    def build() -> tuple[StarV1, StarV2]:
+        v1 = star_v1(spark, sf_dir)
+        return v1, StarV2.alongside(v1)
+
+    return shared(spark, ("models", sf_dir.rstrip("/")), build)
+
 
+def model_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    v1, v2 = models(spark, sf_dir)
+    return {**v1.tables(), **v2.tables()}
 
-def _model_report(build, fn, columns: list[str]) -> Query:
+
+def _model_report(which: int, fn, columns: list[str]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(build(spark, sf_dir).view(columns))
+        return fn(models(spark, sf_dir)[which].view(columns))
     run.__name__ = fn.__name__
     return run
 
@@ -58,8 +69,8 @@ def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for key, fn in reports.REPORTS.items():
         q[key] = _report(fn)
-        q[f"{key}_v1"] = _model_report(star_v1, fn, reports.REPORT_COLUMNS[key])
-        q[f"{key}_v2"] = _model_report(star_v2, fn, reports.REPORT_COLUMNS[key])
+        q[f"{key}_v1"] = _model_report(0, fn, reports.REPORT_COLUMNS[key])
+        q[f"{key}_v2"] = _model_report(1, fn, reports.REPORT_COLUMNS[key])
 
     # sources and repairs
     q["src_flat_orders"] = lambda s, d: TestData(s, d).flat_orders().select(*FLAT_COLUMNS)
@@ -72,20 +83,20 @@ def queries() -> dict[str, Query]:
 
     # v1 star
     q["dim_customer"] = lambda s, d: star_v1(s, d, stage=False).customer_dim
-    q["dim_manager"] = lambda s, d: star_v1(s, d).manager_dim
+    q["dim_manager"] = lambda s, d: star_v1(s, d, stage=False).manager_dim
     q["dim_product"] = lambda s, d: star_v1(s, d, stage=False).product_dim
     q["dim_deliver"] = lambda s, d: star_v1(s, d, stage=False).deliver_dim
     q["dim_ship"] = lambda s, d: star_v1(s, d, stage=False).ship_dim
     q["dim_order_v1"] = lambda s, d: star_v1(s, d, stage=False).order_dim
-    q["fact_sales_v1"] = lambda s, d: star_v1(s, d).sales_fact
-    q["star_v1"] = lambda s, d: star_v1(s, d).row_counts()
-    q["star_flatten_v1"] = lambda s, d: star_v1(s, d).flatten()
+    q["fact_sales_v1"] = lambda s, d: models(s, d)[0].sales_fact
+    q["star_v1"] = lambda s, d: models(s, d)[0].row_counts()
+    q["star_flatten_v1"] = lambda s, d: models(s, d)[0].flatten()
     # v2 header / detail
-    q["dim_ship_v2"] = lambda s, d: star_v2(s, d, stage=False).ship_dim_v2
-    q["order_header_v2"] = lambda s, d: star_v2(s, d).orders_v2
-    q["order_detail_v2"] = lambda s, d: star_v2(s, d).order_details_v2
-    q["star_v2"] = lambda s, d: star_v2(s, d).row_counts()
-    q["star_flatten_v2"] = lambda s, d: star_v2(s, d).flatten()
+    q["dim_ship_v2"] = lambda s, d: StarV2.alongside(star_v1(s, d, stage=False)).ship_dim_v2
+    q["order_header_v2"] = lambda s, d: models(s, d)[1].orders_v2
+    q["order_detail_v2"] = lambda s, d: models(s, d)[1].order_details_v2
+    q["star_v2"] = lambda s, d: models(s, d)[1].row_counts()
+    q["star_flatten_v2"] = lambda s, d: models(s, d)[1].flatten()
 
     # retail marts
     q["wide_orders"] = wide
@@ -98,10 +109,8 @@ def queries() -> dict[str, Query]:
     # audits
     q["audit_primary_keys"] = audit_primary_keys
     q["audit_orphans"] = audit_orphans
-    q["audit_not_null"] = lambda s, d: audit.declared_columns(
-        TestData(s, d).flat_orders(), "orders", ORDER_COLUMNS, not_null=True, type_fit=False)
-    q["audit_type_fit"] = lambda s, d: audit.declared_columns(
-        TestData(s, d).flat_orders(), "orders", ORDER_COLUMNS, not_null=False, type_fit=True)
+    q["audit_not_null"] = lambda s, d: audit.declared_tables(declared(s, d), not_null=True, type_fit=False)
+    q["audit_type_fit"] = lambda s, d: audit.declared_tables(declared(s, d), not_null=False, type_fit=True)
     q["audit_order_dependency"] = lambda s, d: audit.functional_dependency(
         wide(s, d), "order_id", ORDER_ATTRIBUTES, "orders")
     q["audit_join_loss"] = audit_join_loss
@@ -128,9 +137,8 @@ def queries() -> dict[str, Query]:
     q["best_home"] = lambda s, d: rental.top_homes(rental.filter_homes(*_lr(s, d), TOP_FILTER), 1)
     q["best_city"] = lambda s, d: rental.best_city(rental.city_rating(TestData(s, d).listings()))
     q["best_vs_selected_city"] = lambda s, d: rental.best_vs_selected_city(
-        rental.city_rating(TestData(s, d).listings()), SELECTED_CITY)
-    q["best_vs_selected_home"] = lambda s, d: rental.best_vs_selected_home(
-        rental.filter_homes(*_lr(s, d), TOP_FILTER), rental.home_scorecard(*_lr(s, d)))
+        materialize(rental.city_rating(TestData(s, d).listings()), "cities"), SELECTED_CITY)
+    q["best_vs_selected_home"] = best_vs_selected_home
     return q
 
 
@@ -160,48 +168,48 @@ def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.wide_orders(td.flat_orders(), td.people(), td.returns())
 
 
-def _both_models(spark: SparkSession, sf_dir: str):
-    """v1 and v2 over one staging table and one set of shared dimensions."""
-    v1 = star_v1(spark, sf_dir)
-    return v1, StarV2.alongside(v1), TestData(spark, sf_dir)
+def best_vs_selected_home(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # TOP_FILTER holds home-level thresholds only: both rows come from one scorecard
+    card = materialize(rental.home_scorecard(*_lr(spark, sf_dir)), "scorecard")
+    return rental.best_vs_selected_home(rental.passing_homes(card, TOP_FILTER), card)
 
 
-def _written_models(spark: SparkSession, sf_dir: str):
-    """Both models built and written once; audits read the written tables."""
-    v1, v2, td = _both_models(spark, sf_dir)
-    return StarV2.snapshot_together(v1, v2), td
+def declared(spark: SparkSession, sf_dir: str) -> dict[str, tuple]:
+    """Every table with its declared columns: the extract and both models."""
+    tables = model_tables(spark, sf_dir)
+    specs = {**MODEL_V1, **MODEL_V2}
+    return {"orders": (TestData(spark, sf_dir).flat_orders(), ORDER_COLUMNS),
+            **{name: (tables[name], spec["columns"]) for name, spec in specs.items()}}
 
 
 def audit_primary_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # each table is read by one aggregation only: no snapshot needed
-    v1, v2, td = _both_models(spark, sf_dir)
-    tables = {**v1.tables(), **v2.tables(), "people": td.people()}
+    tables = {**model_tables(spark, sf_dir), "people": TestData(spark, sf_dir).people()}
     keys = {name: spec["pk"] for name, spec in {**MODEL_V1, **MODEL_V2}.items()}
     keys["people"] = ["person"]
     return audit.primary_keys(tables, keys)
 
 
 def audit_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables, _ = _written_models(spark, sf_dir)
     fks = [(child, cols, parent, pcols)
            for child, spec in {**MODEL_V1, **MODEL_V2}.items() for cols, parent, pcols in spec["fk"]]
-    return audit.orphans(tables, fks)
+    return audit.orphans(model_tables(spark, sf_dir), fks)
 
 
 def audit_join_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v1 = star_v1(spark, sf_dir)
-    td = TestData(spark, sf_dir)
-    stg, raw = v1.staging, v1.raw_staging
-    return audit.join_loss({
-        "product": (stg, v1.product_dim, PRODUCT_KEY),
-        "deliver": (stg, v1.deliver_dim, DELIVER_KEY),
-        "ship": (stg, v1.ship_dim, ["ship_mode"]),
-        "manager": (stg, td.people(), ["region"]),
-        "returns_raw": (stg, td.returns(), ["order_id"]),
-        "deliver_unrepaired": (raw, raw.select(*DELIVER_KEY).distinct(), DELIVER_KEY),
+    v1 = models(spark, sf_dir)[0]
+    raw = v1.raw_staging
+    lines = repair_postal_code(raw.withColumn("raw_postal_code", F.col("postal_code")), VERMONT_ANALOG)
+    deliver = {c: c for c in DELIVER_KEY}
+    return audit.join_loss(lines, {
+        "product": (v1.product_dim, {c: c for c in PRODUCT_KEY}),
+        "deliver": (v1.deliver_dim, deliver),
+        "ship": (v1.ship_dim, {"ship_mode": "ship_mode"}),
+        "manager": (v1.people, {"region": "region"}),
+        "returns_raw": (TestData(spark, sf_dir).returns(), {"order_id": "order_id"}),
+        "deliver_unrepaired": (raw.select(*DELIVER_KEY).distinct(), deliver | {"postal_code": "raw_postal_code"}),
     })
 
 
 def model_redundancy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v1, v2, _ = _both_models(spark, sf_dir)
+    v1, v2 = models(spark, sf_dir)
     return audit.model_redundancy({"v1": ("sales_fact", v1.sales_fact), "v2": ("orders_v2", v2.orders_v2)})

@@ -92,6 +92,12 @@ def declared_columns(df: DataFrame, table: str, columns: Sequence[tuple[str, str
              F.col("__rows").cast("long").alias("checked_rows"), F.col("violations").cast("long"))
 
 
+def declared_tables(tables: Mapping[str, tuple[DataFrame, Sequence[tuple[str, str, bool]]]],
+                    not_null: bool = True, type_fit: bool = True) -> DataFrame:
+    """J3/J4 for several tables (name -> (table, declared columns)), one scan each."""
+    return _union([declared_columns(df, name, columns, not_null, type_fit) for name, (df, columns) in tables.items()])
+
+
 def functional_dependency(df: DataFrame, key: str, attributes: Sequence[str], table: str) -> DataFrame:
     """Keys with more than one distinct non-NULL value of an attribute.
 
@@ -108,24 +114,27 @@ def functional_dependency(df: DataFrame, key: str, attributes: Sequence[str], ta
         F.col("__keys").cast("long").alias("checked_rows"), F.col("violations").cast("long"))
 
 
-def join_loss(rules: Mapping[str, tuple[DataFrame, DataFrame, Sequence[str]]]) -> DataFrame:
-    """Per lookup join (name -> (lines, lookup, keys)), the lines that find
-    no match (lost) and the lines that find more than one (multiplied).  The
-    lookup side is reduced to one count per key first and joined as a written
-    lookup, so the audit join never fans out and a hot key is split by AQE;
-    NULL keys never match, as in the model joins."""
+def join_loss(lines: DataFrame, rules: Mapping[str, tuple[DataFrame, Mapping[str, str]]]) -> DataFrame:
+    """Per lookup join (name -> (lookup, its key columns -> columns of the
+    lines)), the lines that find no match (lost) and the lines that find more
+    than one (multiplied).  Each lookup is reduced to one count per key and
+    written, so the joins never fan out and a hot key is split by AQE; the lines
+    are read once, with all counts joined to them, and aggregated once.  NULL
+    keys never match, as in the model joins."""
     counts = materialize_all({
-        name: lookup.groupBy(*keys).agg(F.count(F.lit(1)).alias("__matches"))
-        for name, (_, lookup, keys) in rules.items()})
-    parts = []
-    for name, (lines, _, keys) in rules.items():
-        j = lookup_join(lines.select(*keys), counts[name], keys, "left", written=True)
-        parts.append(j.agg(
-            F.lit(name).alias("join_name"), F.count(F.lit(1)).alias("checked_rows"),
-            F.count_if(F.col("__matches").isNull()).cast("long").alias("lost"),
-            F.count_if(F.col("__matches") > 1).cast("long").alias("multiplied"),
-            F.coalesce(F.sum("__matches"), F.lit(0)).cast("long").alias("joined_rows")))
-    return _union(parts)
+        name: lookup.groupBy(*[F.col(k).alias(c) for k, c in keys.items()]).agg(F.count(F.lit(1)).alias(f"__m{i}"))
+        for i, (name, (lookup, keys)) in enumerate(rules.items())})
+    joined = lines.select(*dict.fromkeys(c for _, keys in rules.values() for c in keys.values()))
+    aggs, stack = [F.count(F.lit(1)).alias("checked_rows")], []
+    for i, (name, (_, keys)) in enumerate(rules.items()):
+        joined = lookup_join(joined, counts[name], list(keys.values()), "left", written=True)
+        m = F.col(f"__m{i}")
+        aggs += [F.count_if(m.isNull()).alias(f"__l{i}"), F.count_if(m > 1).alias(f"__x{i}"),
+                 F.coalesce(F.sum(m), F.lit(0)).alias(f"__j{i}")]
+        stack.append(f"'{name}', __l{i}, __x{i}, __j{i}")
+    return joined.agg(*aggs).select(
+        F.expr(f"stack({len(rules)}, {', '.join(stack)}) AS (join_name, lost, multiplied, joined_rows)"), "checked_rows"
+    ).select("join_name", "checked_rows", "lost", "multiplied", "joined_rows")
 
 
 def model_redundancy(models: Mapping[str, tuple[str, DataFrame]], ids_per_row: int = 3) -> DataFrame:

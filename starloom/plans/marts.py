@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exact_sum, half_up_div, money, scaled_decimal
 from ..operators.clean import dedup_returns, with_return_flag
+from ..operators.joins import lookup_join
 from ..schemas import FLAT_COLUMNS
 
 
@@ -26,8 +27,10 @@ def manager_lookup(people: DataFrame) -> DataFrame:
 
 
 def wide_orders(flat: DataFrame, people: DataFrame, returns: DataFrame) -> DataFrame:
-    """Order lines + manager + return flag, one row per line."""
-    w = flat.join(manager_lookup(people), "region", "left")
+    """Order lines + manager + return flag, one row per line.  The few
+    managers are written first: their size is then known when the join is
+    planned, and the lines aren't shuffled on the region."""
+    w = lookup_join(flat, manager_lookup(people), ["region"], "left", "managers")
     w = with_return_flag(w, dedup_returns(returns), lines=True)
     return w.select(*FLAT_COLUMNS, "manager", "returned")
 

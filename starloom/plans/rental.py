@@ -144,8 +144,12 @@ def home_latest_attributes(listings: DataFrame, reviews: DataFrame) -> DataFrame
 
 def filter_homes(listings: DataFrame, reviews: DataFrame, flt: HomeFilter) -> DataFrame:
     """Homes passing the listing-level and home-level parameters."""
-    h = home_scorecard(listings, reviews, flt)
-    return (h.where((F.col("reviews") >= flt.min_reviews) & (F.col("bedrooms") >= flt.min_bedrooms)
+    return passing_homes(home_scorecard(listings, reviews, flt), flt)
+
+
+def passing_homes(scorecard: DataFrame, flt: HomeFilter) -> DataFrame:
+    """The home-level parameters of B6/B7 over a scorecard."""
+    return (scorecard.where((F.col("reviews") >= flt.min_reviews) & (F.col("bedrooms") >= flt.min_bedrooms)
                     & (F.col("accommodates") >= flt.min_capacity))
             .select(*HOME_KEY, "home_rating", "reviews", "bedrooms", "accommodates", "listings", "avg_price"))
 

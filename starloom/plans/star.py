@@ -11,12 +11,15 @@ Plan shape:
   * surrogate keys come from the dense-key operator (2.7); the natural-key
     sets of all numbered dimensions of both models are computed in one
     GROUPING SETS pass over staging and written once;
-  * natural keys are resolved with plain equi joins; Spark/AQE broadcast a
-    dimension only when its measured size is under the threshold, otherwise
-    shuffle-join it (skewed keys split by AQE);
+  * every table is written and read back, dimensions and people first, then the
+    fact, header and details; so the size of a small side is that of its own
+    files, known when the join is planned, and reports read tables;
+  * natural keys are resolved with plain equi joins; Spark broadcasts a
+    dimension only when its file size is under the threshold, otherwise
+    shuffle-joins it (skewed keys split by AQE);
   * returns are deduplicated before any join (decision 1), so no fan-out.
-Tables are built lazily on first access, so a report that needs only the fact
-and one dimension does not build the rest.
+Tables are built on first access and once per model object, so a report that
+needs only the fact and one dimension does not build the rest.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import dedup_returns, repair_postal_code, with_return_flag
 from ..operators.joins import lookup_join
-from ..operators.keys import dense_keys
+from ..operators.keys import dense_key, dense_keys
 from ..schemas import FLAT_COLUMNS
 from ..session import materialize, materialize_all
 
@@ -54,6 +57,8 @@ DETAIL_COLUMNS = ["sales", "quantity", "profit", "discount", "product_id", "orde
 class _Model:
     def __init__(self, flat: DataFrame, people: DataFrame, returns: DataFrame, repair_state: str,
                  stage: bool = True):
+        """``stage=False`` when one table is derived: nothing is shared, so
+        neither the extract nor the table is written."""
         self._flat = flat
         self._people = people
         self._returns = returns
@@ -62,6 +67,9 @@ class _Model:
 
     _shared: "_Model | None" = None
 
+    def _table(self, name: str, df: DataFrame) -> DataFrame:
+        return materialize(df, name) if self._stage else df
+
     @cached_property
     def raw_staging(self) -> DataFrame:
         """The flat extract as loaded, written once to the shared folder."""
@@ -77,25 +85,28 @@ class _Model:
 
     @cached_property
     def keyed(self) -> dict[str, DataFrame]:
-        """Numbered dimensions of both models from one GROUPING SETS pass."""
+        """Numbered dimensions of both models from one GROUPING SETS pass, each a
+        written table."""
+        return materialize_all(dense_keys(self.staging, KEY_SPECS))
+
+    def _numbered(self, name: str) -> DataFrame:
         if self._shared is not None:
-            return self._shared.keyed
-        return dense_keys(self.staging, KEY_SPECS)
+            return self._shared._numbered(name)
+        return self.keyed[name] if self._stage else dense_key(self.staging, *KEY_SPECS[name])
+
+    @cached_property
+    def people(self) -> DataFrame:
+        return self._shared.people if self._shared is not None else self._table("people", self._people)
 
     @cached_property
     def returns_dedup(self) -> DataFrame:
         return dedup_returns(self._returns)
 
-    def _customer(self) -> DataFrame:
+    @cached_property
+    def _customers(self) -> DataFrame:
         if self._shared is not None:
-            return self._shared._customer_table()
-        return self.staging.select(*CUSTOMER_COLS).distinct()
-
-    def _product(self) -> DataFrame:
-        return self.keyed["product"]
-
-    def _deliver(self) -> DataFrame:
-        return self.keyed["deliver"]
+            return self._shared._customers
+        return self._table("customers", self.staging.select(*CUSTOMER_COLS).distinct())
 
     def tables(self) -> dict[str, DataFrame]:
         raise NotImplementedError
@@ -109,13 +120,6 @@ class _Model:
             out = out.unionByName(p)
         return out
 
-    def snapshot(self) -> dict[str, DataFrame]:
-        """Every table written once to the shared folder (concurrent jobs) and
-        read back: what audits and exports read, instead of re-deriving the
-        fact or header per consumer."""
-        tables = self.tables()
-        return materialize_all({name: df for name, df in tables.items()})
-
     def write(self, path: str) -> None:
         """A5: full refresh, one Parquet directory per table (re-runnable)."""
         for name, df in self.tables().items():
@@ -125,39 +129,37 @@ class _Model:
 class StarV1(_Model):
     @cached_property
     def customer_dim(self) -> DataFrame:
-        return self._customer()
+        return self._customers
 
     @cached_property
     def manager_dim(self) -> DataFrame:
-        return self._people.select("region", F.col("person").alias("manager"))
+        return self.people.select("region", F.col("person").alias("manager"))
 
     @cached_property
     def deliver_dim(self) -> DataFrame:
-        return self._deliver()
+        return self._numbered("deliver")
 
     @cached_property
     def ship_dim(self) -> DataFrame:
-        return self.keyed["ship"]
+        return self._numbered("ship")
 
     @cached_property
     def product_dim(self) -> DataFrame:
-        return self._product()
+        return self._numbered("product")
 
     @cached_property
     def order_dim(self) -> DataFrame:
         orders = self.staging.select("order_id", "order_date", "ship_date").distinct()
-        return with_return_flag(orders, self.returns_dedup).select("order_id", "order_date", "ship_date", "returned")
+        flagged = with_return_flag(orders, self.returns_dedup)
+        return self._table("order_dim", flagged.select("order_id", "order_date", "ship_date", "returned"))
 
     @cached_property
     def sales_fact(self) -> DataFrame:
-        return (self.staging
+        fact = (self.staging
                 .join(self.product_dim, PRODUCT_KEY)
                 .join(self.deliver_dim, DELIVER_KEY)
-                .join(self.ship_dim, ["ship_mode"])
-                .select(*FACT_COLUMNS))
-
-    def _customer_table(self) -> DataFrame:
-        return self.customer_dim
+                .join(self.ship_dim, ["ship_mode"]))
+        return self._table("sales_fact", fact.select(*FACT_COLUMNS))
 
     def tables(self) -> dict[str, DataFrame]:
         return {"customer_dim": self.customer_dim, "manager_dim": self.manager_dim,
@@ -179,7 +181,7 @@ class StarV1(_Model):
         if need & {"order_date", "ship_date", "returned"}:
             # order_dim comes out of a join on order_id, so Spark would reuse its
             # partitioning and skip the exchange AQE needs to split a hot order
-            df = lookup_join(df, self.order_dim, ["order_id"], "inner", "order_dim")
+            df = lookup_join(df, self.order_dim, ["order_id"], "inner", "order_dim", written=self._stage)
         if need & set(PRODUCT_KEY):
             df = df.join(self.product_dim, "product_id")
         if "ship_mode" in need:
@@ -196,36 +198,25 @@ class StarV2(_Model):
     def alongside(cls, v1: StarV1) -> "StarV2":
         """v2 over v1's staging table, reusing the dimensions both models
         define identically (product, deliver, customer): one build, two models."""
-        v2 = cls(v1._flat, v1._people, v1._returns, v1._repair_state)
+        v2 = cls(v1._flat, v1._people, v1._returns, v1._repair_state, stage=v1._stage)
         v2._shared = v1
         return v2
 
     @cached_property
     def ship_dim_v2(self) -> DataFrame:
-        return self.keyed["ship_v2"]
+        return self._numbered("ship_v2")
 
     @cached_property
     def product_dim_v2(self) -> DataFrame:
-        return self._product()
+        return self._numbered("product")
 
     @cached_property
     def deliver_dim_v2(self) -> DataFrame:
-        return self._deliver()
+        return self._numbered("deliver")
 
     @cached_property
     def customer_dim_v2(self) -> DataFrame:
-        return self._customer()
-
-    @staticmethod
-    def snapshot_together(v1: StarV1, v2: "StarV2") -> dict[str, DataFrame]:
-        """Both models written in one concurrent pass; a table shared by the two
-        (v2 built ``alongside`` v1) is written once."""
-        tables = {**v1.tables(), **v2.tables()}
-        unique: dict[int, str] = {}
-        for name, df in tables.items():
-            unique.setdefault(id(df), name)
-        written = materialize_all({name: tables[name] for name in unique.values()})
-        return {name: written[unique[id(df)]] for name, df in tables.items()}
+        return self._customers
 
     @cached_property
     def orders_v2(self) -> DataFrame:
@@ -236,17 +227,17 @@ class StarV2(_Model):
         already distinct."""
         header = self.staging.select("order_id", "order_date", "ship_date", "customer_id", "ship_mode",
                                      *DELIVER_KEY).distinct()
-        people = self._people.select("region", F.col("person").alias("manager")).distinct()
-        return (with_return_flag(header, self.returns_dedup)
-                .join(people, "region")
-                .join(self.ship_dim_v2, ["ship_mode"])
-                .join(self.deliver_dim_v2, DELIVER_KEY)
-                .select(*HEADER_COLUMNS))
+        people = self.people.select("region", F.col("person").alias("manager")).distinct()
+        header = (with_return_flag(header, self.returns_dedup)
+                  .join(people, "region")
+                  .join(self.ship_dim_v2, ["ship_mode"])
+                  .join(self.deliver_dim_v2, DELIVER_KEY))
+        return self._table("orders_v2", header.select(*HEADER_COLUMNS))
 
     @cached_property
     def order_details_v2(self) -> DataFrame:
         """Lines with measures and the product key."""
-        return self.staging.join(self.product_dim_v2, PRODUCT_KEY).select(*DETAIL_COLUMNS)
+        return self._table("order_details_v2", self.staging.join(self.product_dim_v2, PRODUCT_KEY).select(*DETAIL_COLUMNS))
 
     def tables(self) -> dict[str, DataFrame]:
         return {"ship_dim_v2": self.ship_dim_v2, "product_dim_v2": self.product_dim_v2,

@@ -10,10 +10,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
 _CKPT_KEY = "spark.checkpoint.dir"
 
 
@@ -97,10 +100,24 @@ def materialize_all(frames: dict[str, DataFrame], max_workers: int = 8) -> dict[
         return {k: f.result() for k, f in futures.items()}
 
 
+def shared(spark: SparkSession, key: tuple, build: Callable[[], T]) -> T:
+    """What ``build()`` gives, built once per session and key (a model that many
+    queries read); ``release`` forgets it together with its files."""
+    at = (id(spark), *key)
+    if at not in _SHARED:
+        _SHARED[at] = (spark, build())
+    return _SHARED[at][1]
+
+
+# The session is kept beside the value, so its id can't come to name another one.
+_SHARED: dict[tuple, tuple] = {}
+
+
 def release(spark: SparkSession) -> None:
     """Remove this application's materialised intermediates once nothing reads
     them any more (end of a batch run), on any file system that Spark reaches.
     Only the application's own subfolder of the checkpoint folder is touched."""
+    _SHARED.clear()
     try:
         sc = spark.sparkContext
         per_app = sc.getCheckpointDir()  # Spark's per-application subfolder

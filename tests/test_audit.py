@@ -55,7 +55,7 @@ def test_join_loss_two_managers_missing_region_and_null_postal(spark):
     f = flat(spark, [order_line(1, region="West"), order_line(2, region="North"),
                      order_line(3, region="East", postal_code=None)])
     p = people(spark, [("P1", "West"), ("P2", "West"), ("P3", "East")])
-    got = {r.join_name: (r.lost, r.multiplied) for r in audit.join_loss({
-        "manager": (f, p, ["region"]),
-        "deliver": (f, f.select(*DELIVER_KEY).distinct(), DELIVER_KEY)}).collect()}
+    got = {r.join_name: (r.lost, r.multiplied) for r in audit.join_loss(f, {
+        "manager": (p, {"region": "region"}),
+        "deliver": (f.select(*DELIVER_KEY).distinct(), {c: c for c in DELIVER_KEY})}).collect()}
     assert got == {"manager": (1, 1), "deliver": (1, 0)}
