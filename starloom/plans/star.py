@@ -227,7 +227,7 @@ class StarV2(_Model):
         already distinct."""
         header = self.staging.select("order_id", "order_date", "ship_date", "customer_id", "ship_mode",
                                      *DELIVER_KEY).distinct()
-        people = self.people.select("region", F.col("person").alias("manager")).distinct()
+        people = self._table("managers", self.people.select("region", F.col("person").alias("manager")).distinct())
         header = (with_return_flag(header, self.returns_dedup)
                   .join(people, "region")
                   .join(self.ship_dim_v2, ["ship_mode"])

@@ -1,6 +1,6 @@
 from starloom import schemas
 from starloom.operators import audit
-from starloom.plans.star import DELIVER_KEY, StarV1
+from starloom.plans.star import DELIVER_KEY, StarV1, StarV2
 
 from .fixtures import flat, order_line, people, random_orders, returns
 
@@ -44,6 +44,21 @@ def test_not_null_and_type_fit(spark):
     assert got[("not_null", "city")] == 0 and got[("type_fit:int", "row_id")] == 0
 
 
+def test_declared_rules_of_every_model_table(spark):
+    f = flat(spark, [order_line(1), order_line(2, order_id="B", segment="S" * 12, customer_name=None, sales="100000.00")])
+    v1 = StarV1(f, people(spark), returns(spark, []), "Vermont")
+    v2 = StarV2.alongside(v1)
+    tables = {**v1.tables(), **v2.tables()}
+    specs = {**schemas.MODEL_V1, **schemas.MODEL_V2}
+    got = audit.declared_tables({n: (tables[n], s["columns"]) for n, s in specs.items()}).collect()
+    assert sum(r.rule == "not_null" for r in got) == 58 and sum(r.rule != "not_null" for r in got) == 60
+    broken = {(r.table_name, r.rule, r.column_name): r.violations for r in got if r.violations}
+    assert broken == {(t, rule, c): 1 for t, rule, c in [
+        ("customer_dim", "not_null", "customer_name"), ("customer_dim", "type_fit:varchar(11)", "segment"),
+        ("customer_dim_v2", "not_null", "customer_name"), ("customer_dim_v2", "type_fit:varchar(11)", "segment"),
+        ("sales_fact", "type_fit:numeric(9,4)", "sales"), ("order_details_v2", "type_fit:numeric(9,4)", "sales")]}
+
+
 def test_functional_dependency_order_with_two_destinations(spark):
     f = flat(spark, [order_line(1, order_id="A", city="Austin"), order_line(2, order_id="A", city="Dallas"),
                      order_line(3, order_id="B", postal_code=None), order_line(4, order_id="B")])
