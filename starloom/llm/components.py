@@ -16,7 +16,9 @@ def _least(edges: DataFrame) -> DataFrame:
 
 
 def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("u") - F.col("v"))).first())
+    # differences of ids reach 2^63, and their sum passes it after a few edges: 38 digits hold 10^18 edges
+    apart = F.col("u").cast("decimal(28,0)") - F.col("v").cast("decimal(28,0)")
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(apart)).first())
 
 
 def components(edges: DataFrame) -> DataFrame:
