@@ -102,7 +102,6 @@ def write_archives(pages: DataFrame, path: str, revisit_from: int = REVISIT_FROM
 
 _START = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
-_MAX_HEADER = 1 << 20
 _END = END.encode()
 
 
@@ -114,21 +113,26 @@ def _record(data: bytes, at: int) -> tuple[dict, int]:
     """The record at a version line, and the place after its end."""
     if not _VERSION.match(data, at):
         raise Broken("no version line")
-    head_end = data.find(_END, at, at + _MAX_HEADER)
-    if head_end < 0:
-        raise Broken("header without end")
     fields: dict[str, str] = {}
-    for line in data[at:head_end].split(b"\r\n")[1:]:
-        name, colon, value = line.partition(b":")
+    # a header of any length; the next version line has no name, so no search runs far past it
+    line_at = data.index(b"\r\n", at) + 2
+    while True:
+        line_end = data.find(b"\r\n", line_at)
+        if line_end < 0:
+            raise Broken("header without end")
+        if line_end == line_at:
+            break
+        name, colon, value = data[line_at:line_end].partition(b":")
         if not colon:
             raise Broken("header line without a name")
         fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+        line_at = line_end + 2
     if "warc-type" not in fields or "warc-record-id" not in fields:
         raise Broken("no record type or id")
     length = fields.get("content-length", "")
     if not (length.isascii() and length.isdigit() and len(length) < 16):
         raise Broken("no content length")
-    start = head_end + len(_END)
+    start = line_end + 2
     end = start + int(length)
     if data[end:end + len(_END)] != _END:
         raise Broken("no end of record at the content length")
@@ -244,12 +248,14 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
 
 def round_trip(pages: DataFrame, revisit_from: int = REVISIT_FROM) -> DataFrame:
     """Write the pages as archives and read them back: one row per page with
-    page_id, payload_bytes, payload_digest, record_type, refers_to, file, start, end."""
+    page_id, payload_bytes, payload_digest, record_type, refers_to, file, start, end.
+    A gap in these archives would be a missing page, so it is an error."""
     spark = pages.sparkSession
     path = os.path.join(checkpoint_dir(spark), "starloom", f"warc-{uuid.uuid4().hex}")
     write_archives(pages, path, revisit_from)
     kind = pages.schema["page_id"].dataType
-    return read_archives(spark, path).filter("kind = 'record'").select(
+    gap = F.raise_error(F.concat_ws(" ", F.lit("gap in an archive just written:"), "file", "start", "end", "reason"))
+    return read_archives(spark, path).filter(F.when(F.col("kind") == "record", F.lit(True)).otherwise(gap)).select(
         F.col("record_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         F.col("refers_to").cast(kind).alias("refers_to"), "file", "start", "end")
 

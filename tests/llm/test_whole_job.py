@@ -1,8 +1,9 @@
 """Inputs past the bounds that operators once had."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from starloom.llm import components
+from starloom.llm import components, warc
 
 
 def test_components_of_far_apart_ids(spark):
@@ -13,3 +14,15 @@ def test_components_of_far_apart_ids(spark):
     edges = spark.createDataFrame([(far + k, k % 2) for k in range(8)] + [(5, 6)], "u long, v long")
     found = {r.node: r.root for r in components.components(edges).collect()}
     assert found == {far + k: k % 2 for k in range(8)} | {6: 5}
+
+
+def test_a_page_with_a_long_url_comes_back(spark):
+    rows = [(1, "http://a/" + "x" * (1 << 21), "one"), (2, "http://b/", "one"), (3, "http://c/", "two")]
+    found = warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {(r.page_id, r.record_type) for r in found.collect()} == {(1, "response"), (2, "revisit"), (3, "response")}
+
+
+def test_a_gap_in_a_written_archive_is_an_error(spark):
+    pages = spark.createDataFrame([("a\r\n\r\nb", "http://a/", "one"), ("c", "http://c/", "two")], "page_id string, url string, html string")
+    with pytest.raises(Exception, match="gap in an archive just written"):
+        warc.round_trip(pages).collect()
