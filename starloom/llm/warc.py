@@ -14,7 +14,10 @@ line, header, length, end of record, and digest of the payload.  Where one
 fails, the reader searches for the next version line or gzip member that
 passes them all, goes on from there, and logs the bytes between as a
 quarantined gap (file, start, end, reason).  Compressed archives are read member
-by member.  A file is one row of Spark's binary source, so its size bounds the
+by member; the same search runs over the text of a member, as far as it can be
+decompressed, so a bad record or a broken member of many records costs only what
+it damages.  A gap inside a member has the member's place, and its own in the
+reason.  A file is one row of Spark's binary source, so its size bounds the
 memory of a task; Spark refuses files above
 ``spark.sql.sources.binaryFile.maxLength``.
 
@@ -149,53 +152,85 @@ def sha1_base32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _member(data: bytes, at: int) -> tuple[list[dict], int]:
-    """The records of the gzip member that starts here, and the place after it."""
+def _inflate(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """The text of the gzip member that starts here as far as it goes, the place
+    where it ends or breaks off, and what is wrong with it."""
     unzip, parts, place = zlib.decompressobj(31), [], at
-    try:
-        while not unzip.eof and place < len(data):
-            parts.append(unzip.decompress(data[place:place + (1 << 16)]))
-            place += 1 << 16
-    except zlib.error as e:
-        raise Broken(f"gzip member: {e}") from None
-    if not unzip.eof:
-        raise Broken("gzip member without end")
-    text, end = b"".join(parts), min(place, len(data)) - len(unzip.unused_data)
-    records, inside = [], 0
-    while inside < len(text):
-        record, inside = _record(text, inside)
-        records.append(record)
-    return records, end
+    while not unzip.eof and place < len(data):
+        before, chunk = unzip.copy(), data[place:place + (1 << 16)]
+        try:
+            parts.append(unzip.decompress(chunk))
+        except zlib.error:  # the call's text is lost with it: byte by byte up to the break
+            for k in range(len(chunk)):
+                try:
+                    parts.append(before.decompress(chunk[k:k + 1]))
+                except zlib.error as e:
+                    return b"".join(parts), place + k, f"gzip member: {e}"
+        place += len(chunk)
+    return b"".join(parts), place - len(unzip.unused_data), None if unzip.eof else "gzip member without end"
+
+
+def _member(data: bytes, at: int) -> tuple[list[tuple[str, object]], int, str | None, bytes]:
+    """What was salvaged of the gzip member that starts here: records, and the
+    reasons of gaps; the place where it ends or breaks off, what is wrong with
+    it, and its text."""
+    text, end, wrong = _inflate(data, at)
+    found = [(what, x if what == "record" else f"{x} (bytes {a} to {b} of the member that starts at {at})")
+             for what, a, b, x in _salvage(text, _VERSION)]
+    # the end and checksum of a member of one record are checks of that record
+    if (wrong and [what for what, _ in found] == ["record"]) or (
+            not any(what == "record" for what, _ in found) and (found or wrong)):
+        raise Broken(wrong or str(found[0][1]))
+    return found, end, wrong, text
 
 
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, object]]:
     """("record", start, end, record) and ("gap", start, end, reason), which
     together cover every byte of the archive in order."""
+    return _salvage(data, _START)
+
+
+def _salvage(data: bytes, starts: re.Pattern) -> Iterator[tuple[str, int, int, object]]:
+    """``starts``: what a record or member begins with."""
 
-    def at(place: int) -> tuple[list[dict], int]:
-        if data.startswith(b"\x1f\x8b\x08", place):
+    def at(place: int) -> tuple[list[tuple[str, object]], int, str | None, bytes]:
+        if starts is _START and data.startswith(b"\x1f\x8b\x08", place):
             return _member(data, place)
         record, end = _record(data, place)
-        return [record], end
-
-    place = 0
+        return [("record", record)], end, None, b""
+
+    def after(place: int, upto: int, text: bytes) -> tuple[int, tuple | None]:
+        """The next start that can be read. A record that lies plain in the bytes of a
+        broken member (up to ``upto``) was found in its text."""
+        for hit in starts.finditer(data, place):
+            try:
+                got = at(hit.start())
+            except Broken:
+                continue
+            if hit.start() < upto and not got[3] and data[hit.start():got[1]] in text:
+                continue
+            return hit.start(), got
+        return len(data), None
+
+    place, got = 0, None
     while place < len(data):
-        try:
-            records, end = at(place)
-        except Broken as e:
-            reason, gap, records = str(e), place, None
-            for found in _START.finditer(data, place + 1):
-                try:
-                    records, end = at(found.start())
-                    place = found.start()
-                    break
-                except Broken:
-                    continue
-            yield "gap", gap, place if records is not None else len(data), reason
-            if records is None:
-                return
-        for record in records:
-            yield "record", place, end, record
+        if got is None:
+            try:
+                got = at(place)
+            except Broken as e:
+                gap = place
+                place, got = after(gap + 1, 0, b"")
+                yield "gap", gap, place, str(e)
+                continue
+        found, end, wrong, text = got
+        if wrong:  # where a broken member ends isn't known: the next start may lie before the break
+            end, got = after(place + 1, end, text)
+        else:
+            got = None
+        for what, x in found:
+            yield what, place, end, x
+        if wrong:
+            yield "gap", place, end, f"{wrong} ({len(text)} bytes of text before it)"
         place = end
 
 

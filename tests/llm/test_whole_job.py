@@ -1,5 +1,8 @@
 """Inputs past the bounds that operators once had."""
 
+import gzip
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,3 +29,38 @@ def test_a_gap_in_a_written_archive_is_an_error(spark):
     pages = spark.createDataFrame([("a\r\n\r\nb", "http://a/", "one"), ("c", "http://c/", "two")], "page_id string, url string, html string")
     with pytest.raises(Exception, match="gap in an archive just written"):
         warc.round_trip(pages).collect()
+
+
+def record(i, body):
+    head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{i}>\r\nWARC-Payload-Digest: sha1:"
+    return head.encode() + warc.sha1_base32(body).encode() + f"\r\nContent-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
+
+
+def salvaged(data):
+    found = list(warc.salvage(data))
+    return ([x["fields"]["warc-record-id"][10:-1] for what, _, _, x in found if what == "record"],
+            [(a, b, x) for what, a, b, x in found if what == "gap"])
+
+
+@pytest.mark.parametrize("level", [0, 9])
+def test_good_records_of_a_damaged_member_come_back(level):
+    rng = random.Random(5)
+    parts = [record(i, rng.randbytes(3000)) for i in range(6)]
+    last = gzip.compress(record(9, b"later"), mtime=0)
+
+    # one bad record in a member that is whole
+    bad = bytearray(b"".join(parts))
+    bad[len(parts[0]) + len(parts[1]) - 100] ^= 0xFF
+    member = gzip.compress(bytes(bad), level, mtime=0)
+    ids, gaps = salvaged(member + last)
+    assert ids == ["0", "2", "3", "4", "5", "9"]
+    (start, end, reason), = gaps
+    assert (start, end) == (0, len(member))
+    assert f"(bytes {len(parts[0])} to {len(parts[0]) + len(parts[1])} of the member that starts at 0)" in reason
+
+    # a member that is cut off
+    member = gzip.compress(b"".join(parts), level, mtime=0)
+    cut = member[:len(member) * 3 // 4]
+    ids, gaps = salvaged(cut + last)
+    assert ids == ["0", "1", "2", "3", "9"] and all(gap[:2] == (0, len(cut)) for gap in gaps) and gaps
+    assert salvaged(cut)[0] == ["0", "1", "2", "3"]
