@@ -9,9 +9,12 @@ suffixes together; this gives its longest verbatim match, the places of that
 match, and the places of its window.  Shards share nothing, so documents never
 move, no group can be hot, and a lost executor only repeats its own batches.
 
-The test set goes to the tasks in blocks of at most ``BLOCK_BYTES`` of text:
-one block for usual benchmarks, and one more pass over the documents for every
-further block, so the memory of a task is bounded for any test set.
+The test set goes to the tasks in blocks of about ``BLOCK_BYTES`` of text: one
+block for usual benchmarks.  A larger test set is written as a table that knows
+the block of each item; the documents are written too, numbered, and scanned by
+one job a block, whose results are written.  Only one block at a time is on the
+driver and in a task, and it exceeds the bound by less than one item, since items
+aren't cut.  The results of all passes then meet per document.
 
 Words are compared exactly (a shard numbers its own distinct words), never by
 hash.
@@ -36,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, fresh, words
+from .common import bounded_batches, fresh, materialize, words
 
 WINDOW = 10
 SHARD_WORDS = 1 << 19
@@ -223,30 +226,76 @@ def _scanner(items: list[tuple[str, list[bytes]]], window: int, shard_words: int
     return F.arrow_udf(scan_texts, RESULT)
 
 
+def _pieces(benchmark: DataFrame, block_bytes: int, id_col: str, text_col: str) -> DataFrame:
+    """The test items with a place (part, piece): items of equal place are at most
+    ``block_bytes``, the last one aside."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece, size = 0, 0
+        for batch in batches:
+            sizes, pieces = [sum(map(len, words(t))) + 64 for t in batch.column(2).to_pylist()], []
+            for s in sizes:
+                if size >= block_bytes:
+                    piece, size = piece + 1, 0
+                size += s
+                pieces.append(piece)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pieces, pa.int64()), pa.array(sizes, pa.int64())],
+                                             names=["part", "item_id", "text", "piece", "size"])
+
+    items = benchmark.select(F.spark_partition_id().alias("part"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item_id"),
+                             F.col(text_col).alias("text"))
+    return items.mapInArrow(cut, "part int, item_id string, text string, piece long, size long")
+
+
 def test_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, id_col: str = "item_id",
-                text_col: str = "text") -> Iterator[list[tuple[str, list[bytes]]]]:
-    """The test items, fetched partition by partition, in blocks of bounded size."""
-    block, size = [], 0
-    for row in benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")), text_col).toLocalIterator():
-        w = words(row[1])
-        block.append((row[0], w))
-        size += sum(map(len, w)) + 64
-        if size >= block_bytes:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+                text_col: str = "text") -> list[DataFrame]:
+    """The test items (item_id, text) in blocks of bounded size, as parts of a written table."""
+    bounded_batches(benchmark.sparkSession)
+    items = materialize(_pieces(benchmark, block_bytes, id_col, text_col), "test-items")
+    blocks, size = [], block_bytes
+    # a row a partition and a row a block, no texts
+    for r in items.groupBy("part", "piece").agg(F.sum("size").alias("size")).orderBy("part", "piece").collect():
+        if size + r["size"] > block_bytes:
+            blocks.append([])
+            size = 0
+        blocks[-1].append((r["part"], r["piece"]))
+        size += r["size"]
+    found = []
+    for places in blocks:  # neighbours in order of place
+        place, first, last = F.struct("part", "piece"), places[0], places[-1]
+        found.append(items.filter((place >= F.struct(F.lit(first[0]).alias("part"), F.lit(first[1]).cast("long").alias("piece"))) & (
+            place <= F.struct(F.lit(last[0]).alias("part"), F.lit(last[1]).cast("long").alias("piece")))).select("item_id", "text"))
+    return found
 
 
 test_blocks.__test__ = False
 
 
+def _items(block: DataFrame) -> list[tuple[str, list[bytes]]]:
+    return [(r["item_id"], words(r["text"])) for r in block.toLocalIterator()]
+
+
 def with_matches(docs: DataFrame, benchmark: DataFrame, into: str, window: int = WINDOW, text_col: str = "text",
                  shard_words: int = SHARD_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with a column ``into``: an array with one RESULT per test block."""
+    """``docs`` with a column ``into``: an array with the RESULT of the first test
+    block, and of each further block that has a hit or match in the document."""
     bounded_batches(docs.sparkSession)
-    found = [_scanner(block, window, shard_words)(F.col(text_col)) for block in test_blocks(benchmark, block_bytes)]
-    return docs.withColumn(into, F.array(*(found or [_scanner([], window, shard_words)(F.col(text_col))])))
+    blocks = test_blocks(benchmark, block_bytes)
+    if len(blocks) < 2:
+        items = _items(blocks[0]) if blocks else []
+        return docs.withColumn(into, F.array(_scanner(items, window, shard_words)(F.col(text_col))))
+    row = fresh(docs, "row")
+    docs = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "scan-documents")
+    passes = None
+    for k, block in enumerate(blocks):
+        found = docs.select(F.col(row).alias("row"), F.lit(k).alias("block"),
+                            _scanner(_items(block), window, shard_words)(F.col(text_col)).alias("result"))
+        if k:
+            found = found.filter((F.size("result.hits") > 0) | (F.size("result.matches") > 0))
+        found = materialize(found, "scan-block")
+        passes = found if passes is None else passes.unionByName(found)
+    merged = passes.groupBy(F.col("row").alias(row)).agg(F.array_sort(F.collect_list(F.struct("block", "result"))).alias(into))
+    merged = merged.select(row, F.transform(into, lambda x: x["result"]).alias(into))
+    return docs.join(merged, row).drop(row)
 
 
 def _covered(ranges: Column) -> Column:

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.llm import components, warc
+from starloom.llm import components, decontaminate, warc
 
 
 def test_components_of_far_apart_ids(spark):
@@ -64,3 +64,22 @@ def test_good_records_of_a_damaged_member_come_back(level):
     ids, gaps = salvaged(cut + last)
     assert ids == ["0", "1", "2", "3", "9"] and all(gap[:2] == (0, len(cut)) for gap in gaps) and gaps
     assert salvaged(cut)[0] == ["0", "1", "2", "3"]
+
+
+def test_test_blocks_are_scanned_in_separate_passes(spark):
+    note = " ".join(f"word{k}" for k in range(60))
+    items = spark.createDataFrame([(k, " ".join(f"word{j}" for j in range(5 * k, 5 * k + 10))) for k in range(9)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, note), (1, note), (None, "x " + note), (2, None), (3, "nothing")], "doc_id long, text string")
+    blocks = decontaminate.test_blocks(items, 250)
+    assert len(blocks) > 2 and all(b.count() <= 3 for b in blocks)
+    assert sorted(r.item_id for b in blocks for r in b.collect()) == [str(k) for k in range(9)]
+    several = decontaminate.contamination(docs, items, block_bytes=250)
+    # no document row passes more than the scan of one block
+    assert several._jdf.queryExecution().optimizedPlan().toString().count("scan_texts") == 0
+    one = decontaminate.contamination(docs, items)
+    columns = [c for c in one.columns if c != "matches"]
+    assert sorted(map(str, several.select(columns).collect())) == sorted(map(str, one.select(columns).collect()))
+    places = lambda df: sorted((str(r.doc_id), sorted(map(str, r.matches))) for r in df.collect())
+    assert places(several) == places(one)
+    kept = decontaminate.drop_contaminated(docs, items, block_bytes=250)
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 3] and kept.columns == docs.columns
