@@ -4,7 +4,9 @@ Targets.  The sources, by code point with null last, weigh 5, 2, 1 in turn and
 share ``share`` times the words of all documents; a target stops at
 ``most_copies`` times its source's words and the excess is shared again by
 weight.  That fixed point is target = min(cap, weight * level) with one level
-for all, found in one pass over the sources sorted by cap / weight.
+for all, found in one pass over the sources sorted by cap / weight.  There may be
+any number of sources: they are ranked and summed by range, and only one row a
+range meets in one task.
 
 Sampling.  A document's expected copies are target / words of its source.  The
 whole part is allocated to every document as certain copies; what is left is an
@@ -31,6 +33,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.keys import row_number_global
 from .common import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -58,18 +61,26 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     """One row per source: source_size, target, certain copies, inclusion
     probability of one more, and the words those extra copies should bring."""
     by_source = sizes.groupBy(*_SOURCE).agg(F.sum("size").alias("source_size"))
-    rank = F.row_number().over(Window.orderBy(*_SOURCE)) - 1
-    weight = F.element_at(F.array(*(F.lit(w) for w in weights)), (rank % len(weights) + 1).cast("int"))
-    caps = by_source.withColumn("weight", weight.cast("long")).withColumn("cap", F.col("source_size") * most_copies)
+    ranked = row_number_global(by_source, _SOURCE, "rank")
+    weight = F.element_at(F.array(*(F.lit(w) for w in weights)), ((F.col("rank") - 1) % len(weights) + 1).cast("int"))
+    caps = ranked.withColumn("weight", weight.cast("long")).withColumn("cap", F.col("source_size") * most_copies)
     caps = caps.withColumn("ratio", F.col("cap") / F.col("weight"))
-    before = Window.orderBy("ratio", *_SOURCE).rowsBetween(Window.unboundedPreceding, -1)
-    everyone = Window.orderBy("ratio", *_SOURCE).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    left = (F.lit(share) * F.sum("source_size").over(everyone) - F.coalesce(F.sum("cap").over(before), F.lit(0)))
-    level = left / (F.sum("weight").over(everyone) - F.coalesce(F.sum("weight").over(before), F.lit(0)))
-    caps = caps.withColumn("level", level)
+    ranges = materialize(caps.repartitionByRange("ratio", *_SOURCE).withColumn("part", F.spark_partition_id()), "mix-ranges")
+    sums = ranges.groupBy("part").agg(F.sum("cap").alias("cap"), F.sum("weight").alias("weight"), F.sum("source_size").alias("size"))
+    # one row a range
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = materialize(sums.select("part", "size", F.col("weight").alias("part_weight"),
+                                     F.coalesce(F.sum("cap").over(ahead), F.lit(0)).alias("cap_ahead"),
+                                     F.coalesce(F.sum("weight").over(ahead), F.lit(0)).alias("weight_ahead")), "mix-starts")
+    total = starts.agg(F.sum("size").alias("size"), F.sum("part_weight").alias("weight")).first()
+    before = Window.partitionBy("part").orderBy("ratio", *_SOURCE).rowsBetween(Window.unboundedPreceding, -1)
+    caps = ranges.join(starts.drop("size", "part_weight"), "part")
+    left = F.lit(share * (total["size"] or 0)) - (F.col("cap_ahead") + F.coalesce(F.sum("cap").over(before), F.lit(0)))
+    level = left / (F.lit(total["weight"] or 0) - (F.col("weight_ahead") + F.coalesce(F.sum("weight").over(before), F.lit(0))))
     # the first source that the level of those not yet capped doesn't cap; levels rise until it, so it is the least
-    found = F.min(F.when(F.col("level") <= F.col("ratio"), F.struct("ratio", *_SOURCE, "level"))).over(everyone)
-    caps = caps.withColumn("target", F.least(F.col("cap").cast("double"), F.col("weight") * found["level"]))
+    least = caps.withColumn("level", level).filter("level <= ratio").agg(F.min(F.struct("ratio", *_SOURCE, "level"))).first()[0]
+    found = F.lit(None if least is None else least["level"]).cast("double")
+    caps = ranges.withColumn("target", F.least(F.col("cap").cast("double"), F.col("weight") * found))
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     caps = caps.withColumn("whole", F.floor(copies)).withColumn("p", copies - F.col("whole"))
     return caps.select(*_SOURCE, "source_size", "target", "whole", "p",

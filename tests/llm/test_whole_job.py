@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.llm import components, decontaminate, warc
+from starloom.llm import components, decontaminate, mixing, warc
 
 
 def test_components_of_far_apart_ids(spark):
@@ -83,3 +83,18 @@ def test_test_blocks_are_scanned_in_separate_passes(spark):
     assert places(several) == places(one)
     kept = decontaminate.drop_contaminated(docs, items, block_bytes=250)
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3] and kept.columns == docs.columns
+
+
+def test_sources_never_meet_in_one_task(spark):
+    sizes = spark.range(3000).select(F.lit(False).alias("no_source"), F.concat(F.lit("s"), "id").alias("source"), (F.col("id") * 7919 % 1009).alias("size"))
+    found = mixing.targets(sizes)
+    assert "SinglePartition" not in found._jdf.queryExecution().executedPlan().toString()
+    rows = {r.source: (r.source_size, r.target) for r in found.collect()}
+    caps = {s: (2 * rows[s][0], mixing.WEIGHTS[k % 3]) for k, s in enumerate(sorted(rows))}
+    left, weight = 1.5 * sum(n for n, _ in rows.values()), sum(w for _, w in caps.values())
+    for cap, w in sorted(caps.values(), key=lambda x: x[0] / x[1]):
+        if left / weight <= cap / w:
+            break
+        left, weight = left - cap, weight - w
+    assert len(rows) == 3000
+    assert all(abs(rows[s][1] - min(cap, w * left / weight)) < 1e-6 for s, (cap, w) in caps.items())
