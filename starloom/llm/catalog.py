@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, langid, licenses, mixing, ngram_join, pii, quality, tokens, warc
+from . import (decontaminate, exact_dedup, langid, licenses, mixing, ngram_join, packing, periodic, pii, quality, spelling,
+               tokens, warc)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,9 +53,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), spelling.one_in(97))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.periodic_runs(table(spark, sf_dir, "documents"), periodic.repeat_tails))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_license_scan, op2_language_id, op3_warc_round_trip, op4_quality_classifier, op5_ngram_jaccard_join,
-    op6_personal_data, op7_pareto_mixing, op8_token_counts, op9_decontamination, op10_exact_dedup)}
+    op6_personal_data, op7_pareto_mixing, op8_token_counts, op9_decontamination, op10_exact_dedup,
+    op11_spelling_variants, op12_best_fit_packing, op13_periodic_runs)}
 
 #: DuckDB statements of the queries that SQL can express; the others are tested by brute force.
 ORACLE: dict[str, str] = {
@@ -63,4 +77,5 @@ ORACLE: dict[str, str] = {
     "op7_pareto_mixing": mixing.SQL,
     "op9_decontamination": decontaminate.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
+    "op11_spelling_variants": spelling.SQL,
 }

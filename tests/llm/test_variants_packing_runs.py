@@ -1,0 +1,283 @@
+"""Spelling variants, best-fit packing, periodic runs."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from starloom.llm import catalog, packing, periodic, spelling
+from tests.llm.helpers import documents, parquet, rows_of, same_as_sql
+
+# spelling variants
+
+
+def edits(a, b):
+    """Whether one inserted, deleted or replaced code point makes a and b equal."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > 1 or a == b:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def brute_variants(vocab):
+    near = {w: [v for v in vocab if edits(w, v)] for w in vocab}
+    form = {}
+    for w in vocab:
+        best = min(near[w], key=lambda v: (-vocab[v], v), default=None)
+        form[w] = best if best is not None and vocab[best] >= 2 * vocab[w] else None
+    rows = Counter()
+    for w in vocab:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        rows[w, form[w], root, vocab[w], len(near[w]), vocab.get(form[w])] += 1
+    return rows
+
+
+def vocab_frame(spark, vocab):
+    return spark.createDataFrame(list(vocab.items()), "word string, n long")
+
+
+def made_up(n, seed, letters="abcdeéß", longest=9):
+    rnd = random.Random(seed)
+    words = {"".join(rnd.choice(letters) for _ in range(rnd.randint(5, longest))) for _ in range(n)}
+    for w in sorted(words):
+        i = rnd.randrange(len(w))
+        words.add(rnd.choice([w[:i] + rnd.choice(letters) + w[i:], w[:i] + rnd.choice(letters) + w[i + 1:], w[:i] + w[i + 1:]]))
+    return {w: rnd.choice([3, 3, 4, 7, 20, 20, 300]) for w in sorted(words) if len(w) >= 5}
+
+
+@pytest.mark.parametrize("most", [spelling.BLOCK_LETTERS, 60])
+def test_near_words_match_brute_force(spark, most):
+    """Small blocks in packs, and every larger block in tiles."""
+    vocab = made_up(250, 3)
+    want = {(w, f, n) for w, _, _, _, n, _ in brute_variants(vocab) if n
+            for f in [min((v for v in vocab if edits(w, v)), key=lambda v: (-vocab[v], v))]}
+    found = spelling.near_words(vocab_frame(spark, vocab), most)
+    assert {(r.word, r.form, r.n_near) for r in found.collect()} == want
+
+
+def test_a_large_unit_passes_in_pieces():
+    """Rows of one unit over many batches: the tile stays, the rest passes."""
+    vocab = made_up(300, 11, "abc", 8)
+    words = sorted((w for w in vocab if len(w) in (6, 7)), key=len)
+    tile = {w for i, w in enumerate(w for w in words if len(w) == 6) if i % 2}
+    rows = sorted(((0 if w in tile else 1), w) for w in words)
+    columns = {"word": pa.string(), "n": pa.int64(), "unit": pa.int64(), "side": pa.int32(), "choice": pa.int32(), "length": pa.int32()}
+
+    def sums(choice, size, most):
+        found = Counter()
+        pieces = (pa.RecordBatch.from_pylist([{"word": w, "n": vocab[w], "unit": 0, "side": s, "choice": choice, "length": len(w)}
+                                              for s, w in rows[i:i + size]], pa.schema(columns)) for i in range(0, len(rows), size))
+        for b in spelling.multiply(pieces, most=most):
+            found.update(dict(zip(b.column("word").to_pylist(), b.column("n_near").to_pylist())))
+        return found
+
+    total = Counter()
+    for choice in range(10):
+        whole = sums(choice, 10 ** 6, 1 << 30)
+        assert sums(choice, 7, 40) == whole == sums(choice, 7, 1 << 30)
+        total += whole
+    passing = [(v, w) for v in tile for w in words if edits(v, w) and len(w) >= len(v)]
+    assert total and total == Counter(x for v, w in passing if w not in tile or v < w for x in (v, w))
+
+
+def test_variants_match_brute_force_and_sql(spark, tmp_path):
+    rnd = random.Random(5)
+    base = list(made_up(60, 8, "abcdeéß"))
+    rows = [(i, " ".join(rnd.choice(base[:1 + i]).title() if i % 3 else rnd.choice(base).upper() for _ in range(60)), "en", "a")
+            for i in range(40)]
+    rows += [(None, "Straße STRASSE strasse café", "de", None), (50, None, None, None), (51, "", None, None),
+             (52, "abc " * 9 + "x" * 30000 + " " + "x" * 30001, "en", "a")]
+    rows += [(53, ("x" * 30000 + " ") * 4 + ("x" * 30001 + " ") * 9, "en", "a")] * 2
+    docs = parquet(spark, documents(spark, rows), tmp_path)
+    found = spelling.spelling_variants(docs, spelling.one_in(97))
+    vocab = Counter()
+    for i, t, _, _ in rows:
+        vocab.update(spelling.text_words("" if i is None else str(i), t or "", spelling.one_in(97)))
+    assert rows_of(found, "word", "form", "root", "n", "n_near", "form_n") == brute_variants({w: n for w, n in vocab.items() if n >= 3})
+    same_as_sql(found, spelling.SQL, tmp_path, "documents")
+
+
+def test_noise_drops_a_code_point():
+    change = spelling.one_in(1)
+    h = zlib.crc32(b"7:caf\xc3\xa9s")
+    assert change("7", "cafés") == "cafés"[:h % 5] + "cafés"[h % 5 + 1:]
+
+
+def test_chains_of_forms_lead_to_their_last_word(spark):
+    names = ["aaaaa" + "b" * i for i in range(12)]
+    forms = spark.createDataFrame([(w, names[i + 1] if i < 11 else None) for i, w in enumerate(names)], "word string, form string")
+    assert {r.root for r in spelling.with_roots(forms).collect()} == {names[-1]}
+    assert spelling.spelling_variants(documents(spark, [])).count() == 0
+
+
+# packing
+
+@pytest.fixture(scope="module")
+def tokens():
+    return packing.Tokens(packing.tokenizer_path(), table_tokens=50)
+
+
+_PIECES = [chr(c) for c in range(256)] + list("İſKéﬁ中😀") + ["<|endoftext|>", "'LL", "'s"]
+
+
+@given(st.lists(st.lists(st.sampled_from(_PIECES), max_size=30).map("".join), max_size=6))
+@settings(max_examples=150, deadline=None)
+def test_ids_are_those_of_the_library(tokens, texts):
+    assert [x.tolist() for x in tokens.of(texts)] == [x.tolist() for x in tokens.library(texts)]
+
+
+def fullest_by_trial(lengths, room):
+    """Sum of the fullest choice of copies that holds the longest one."""
+    first, *rest = sorted(lengths, reverse=True)
+    sums = {first}
+    for n in rest:
+        sums |= {s + n for s in sums if s + n <= room}
+    return max(sums)
+
+
+@given(st.lists(st.integers(1, 30), min_size=1, max_size=40))
+@settings(max_examples=300, deadline=None)
+def test_every_sequence_is_the_fullest_of_what_is_left(lengths):
+    left, room = Counter(lengths), 30
+    for chosen, times in packing.patterns(dict(left), room):
+        for _ in range(times):
+            assert sum(n * k for n, k in chosen.items()) == fullest_by_trial(list(left.elements()), room)
+            left -= Counter(chosen)
+    assert not left
+
+
+def test_packed_sequences_are_gapless_and_few(spark, tokens):
+    rnd = random.Random(2)
+    rows = [(i, "word " * rnd.choice([0, 0, 0, 3, 50, 700, 1300, 9000]), "en", "a") for i in range(150)]
+    rows += [(None, None, None, None)] * 3 + [(7, "twice", "en", "a")] * 2 + [(200, "ÀÉ 中文 <|endoftext|> it's", "fr", "b")]
+    docs = documents(spark, rows).repartition(5)
+    found = packing.pack(docs, with_ids=True).collect()
+    ids = {}
+    for i, t, _, _ in rows:
+        ids.setdefault(i, []).append([*tokens.library([t or ""])[0].tolist(), packing.END])
+    got = {}
+    for r in sorted(found, key=lambda r: r.start):
+        part = np.frombuffer(r.ids, "<u4")
+        assert len(part) == r.length and zlib.crc32(r.ids) == r.ids_crc32 and r.start == 4096 * r.piece
+        got.setdefault(r.doc_id, []).append(part.tolist())
+    assert {k: sum(len(p) for p in v) for k, v in got.items()} == {k: sum(len(x) for x in v) for k, v in ids.items()}
+    for k, v in ids.items():
+        if len(v) == 1:
+            assert sum(got[k], []) == v[0]
+    bins = {}
+    for r in found:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for b in bins.values():
+        at = 0
+        for offset, length in sorted(b):
+            assert offset == at
+            at += length
+        assert at <= packing.ROOM
+    total = sum(r.length for r in found)
+    assert len(bins) <= -(-total // packing.ROOM) + 1
+    assert packing.pack(documents(spark, [])).count() == 0
+    assert packing.pack(docs).columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+
+
+def test_number_of_combinations_is_bounded():
+    rnd = random.Random(4)
+    histogram = {n: rnd.randint(1, 10**9) for n in range(1, 513)}
+    found = packing.patterns(histogram, 512)
+    assert len(found) <= 512 * 10
+    used = Counter()
+    for chosen, times in found:
+        for n, k in chosen.items():
+            used[n] += k * times
+    assert used == Counter(histogram)
+    least = max(sum(n * k for n, k in histogram.items()) / 512, sum(k for n, k in histogram.items() if n > 256))
+    assert sum(t for _, t in found) <= 1.02 * least
+
+
+# periodic runs
+
+def brute_runs(w):
+    out = []
+    for q in range(1, len(w) // 4 + 1):
+        i = 0
+        while i + q < len(w):
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            if j > i and j + q - i >= max(6, 4 * q) and not any(
+                    all(w[x] == w[x + p] for x in range(i, j + q - p)) for p in range(1, q)):
+                out.append((i, j + q - i, q))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+_WORDS = st.lists(st.tuples(st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=5), st.integers(1, 7)), max_size=8).map(
+    lambda parts: [w for words, times in parts for w in words * times])
+
+
+@given(_WORDS)
+@settings(max_examples=600, deadline=None)
+def test_runs_match_brute_force(words):
+    assert periodic.runs_of(words) == brute_runs(words)
+    codes = np.array([{b"a": 0, b"b": 1, b"c": 2}[w] for w in words], np.int64)
+    cut = periodic.segments(codes, rounds=1)  # splitting that stops early changes nothing
+    assert sorted((r for s, e in cut for r in periodic.scan(codes, s, e)), key=lambda r: (r[0], r[2])) == brute_runs(words)
+
+
+@given(st.lists(st.integers(0, 6), max_size=60))
+@settings(max_examples=300, deadline=None)
+def test_segments_are_stable(codes):
+    codes = np.array(codes, np.int64)
+    for s, e in periodic.segments(codes):
+        assert e - s >= periodic.LEAST_WORDS and min(Counter(codes[s:e].tolist()).values()) >= periodic.LEAST_PERIODS
+
+
+def test_long_repetition_is_read_in_bounded_time():
+    assert periodic.runs_of([b"a"] * 300_000) == [(0, 300_000, 1)]
+    words = [b"a", b"b"] * 100_000 + [b"c"] + [b"a"] * 100_000
+    assert periodic.runs_of(words) == [(0, 200_000, 2), (200_001, 100_000, 1)]
+
+
+def test_periodic_query_matches_brute_force(spark):
+    rnd = random.Random(6)
+    rows = [(i, " ".join(rnd.choice("abcdefgh") if rnd.random() < .6 else "x y\tx y\nx y x  y" for _ in range(rnd.randint(0, 40))), "en", "a")
+            for i in range(80)]
+    rows += [(None, "a " * 9, None, None), (100, None, None, None), (101, "", None, None), (102, "é 中 " * 5, "zh", "a")] + [(103, "q w " * 6, "en", "b")] * 2
+    docs = documents(spark, rows)
+    found = {}
+    for r in periodic.digests(periodic.periodic_runs(docs, periodic.repeat_tails)).collect():
+        found.setdefault(r.doc_id, []).append(r)
+    assert sum(map(len, found.values())) == len(rows)
+    planted = 0
+    for i, t, _, _ in rows:
+        w = (t or "").encode().split()
+        h, n = zlib.crc32(b"" if i is None else str(i).encode()), len(w)
+        if h % 10 == 0 and n:
+            planted += 1
+            a, p = h // 10 % n, 1 + (n - h // 10 % n) // (3 + h // 10 % 8)
+            w = [w[j] if j < a else w[a + (j - a) % p] for j in range(n)]
+        runs = brute_runs(w)
+        gone = {j for s, m, q in runs for j in range(s + q, s + m)}
+        best = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=(None, None, None))
+        want = (len(runs), *best, best[1] and 1000 * best[1] // best[2],
+                hashlib.sha256("".join(f"{s},{m},{q}\n" for s, m, q in runs).encode()).hexdigest(),
+                hashlib.sha256(b" ".join(x for j, x in enumerate(w) if j not in gone)).hexdigest())
+        for r in found[i]:
+            assert tuple(r)[1:] == want, (i, r, want)
+    assert planted > 3
+    assert periodic.periodic_runs(documents(spark, [])).count() == 0
+
+
+def test_queries_are_registered():
+    assert {"op11_spelling_variants", "op12_best_fit_packing", "op13_periodic_runs"} <= set(catalog.QUERIES)
