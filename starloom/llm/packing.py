@@ -48,6 +48,9 @@ ROOM = 4096
 END = 1
 #: Pre-tokens that a task keeps.
 TABLE_TOKENS = 400_000
+#: New pre-tokens that the library gets in one text.
+WORDS_AT_ONCE = 2000
+_WORD_END = "</w>"
 
 # The tokenizer's split for lower-case texts below U+0100: contractions, letters,
 # one digit or fraction, runs of anything else but white space.
@@ -72,6 +75,8 @@ class Tokens:
 
         self.model, self.table, self.most = Tokenizer.from_file(path), {}, table_tokens
         self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
+        self.ends = np.zeros(self.model.get_vocab_size(), bool)  # ids that end a pre-token
+        self.ends[[i for t, i in self.model.get_vocab(with_added_tokens=False).items() if t.endswith(_WORD_END)]] = True
         probe = "It's they'LL we'Ve \t12½ A--b\r\nÀÉÖ×÷ßÿ ª!µ\x85\xa0\x1cx'"
         if self._by_pretokens([probe])[0].tolist() != self.library([probe])[0].tolist():
             raise ValueError(f"{path} doesn't split as this table of pre-tokens does")
@@ -79,14 +84,24 @@ class Tokens:
     def library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _of_words(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of pre-tokens, many in one text: each ends with an end-of-word id."""
+        for s in range(0, len(words), WORDS_AT_ONCE):
+            part = words[s:s + WORDS_AT_ONCE]
+            ids = self.library([" ".join(part)])[0]
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(part) or cuts[-1] != len(ids):
+                raise ValueError("pre-tokens don't end with end-of-word ids")
+            data, places = ids.tobytes(), (cuts * 4).tolist()
+            yield from (data[a:b] for a, b in zip([0, *places], places))
+
     def _by_pretokens(self, texts: list[str]) -> list[np.ndarray]:
         table, split = self.table, [_PRETOKEN.findall(t.lower()) for t in texts]
         new = list(set().union(*split).difference(table))
         if len(table) + len(new) > self.most:
             table.clear()
             new = list(set().union(*split))
-        for word, ids in zip(new, self.library(new)):
-            table[word] = ids.tobytes()
+        table.update(zip(new, self._of_words(new)))
         found = [np.frombuffer(b"".join(map(table.__getitem__, words)), np.uint32) for words in split]
         if len(table) > self.most:  # one batch alone
             table.clear()
