@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import exact_sum, half_up_div, money, scaled_decimal
+from ..functions import exact_sum, half_up_div, scaled_decimal
 from ..operators.clean import dedup_returns, with_return_flag
 from ..operators.joins import lookup_join
 from ..schemas import FLAT_COLUMNS
@@ -72,12 +72,11 @@ def manager_performance(wide: DataFrame) -> DataFrame:
     """Sales, profit, orders, returned orders and return rate per manager."""
     per_order = _per_order(wide, ["manager"])
     agg = (per_order.groupBy("manager")
-           .agg(F.sum("sales").alias("sales"), F.sum("profit").alias("profit"),
+           .agg(exact_sum(wide, "sales").alias("sales"), exact_sum(wide, "profit").alias("profit"),
                 F.count(F.lit(1)).alias("orders"), F.sum("is_returned").cast("long").alias("returned_orders"),
                 F.sum("lines").cast("long").alias("lines")))
     return agg.select(
-        "manager", money("sales").alias("sales"), money("profit", 4).alias("profit"),
-        "orders", "returned_orders", "lines",
+        "manager", "sales", "profit", "orders", "returned_orders", "lines",
         scaled_decimal(half_up_div("returned_orders * 10000", "orders"), 4, 12).alias("return_rate"))
 
 
@@ -86,5 +85,5 @@ def sales_dashboard(flat: DataFrame) -> DataFrame:
     return (flat.groupBy(F.year("order_date").cast("long").alias("year"),
                          F.month("order_date").cast("long").alias("month"),
                          "category", "segment", "region")
-            .agg(money(F.sum("sales")).alias("sales"), money(F.sum("profit"), 4).alias("profit"),
+            .agg(exact_sum(flat, "sales").alias("sales"), exact_sum(flat, "profit").alias("profit"),
                  F.sum("quantity").cast("long").alias("quantity"), F.count(F.lit(1)).alias("lines")))

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions import half_up_div, scaled_decimal
 from ..schemas import SCORE_COLUMNS
+from ..session import materialize
 
 HOME_KEY = ["city", "neighbourhood", "name"]
 NO_REVIEW_DATE = "1900-01-01"  # listings without a review lose any "latest" contest
@@ -142,9 +143,23 @@ def home_latest_attributes(listings: DataFrame, reviews: DataFrame) -> DataFrame
                                                     "last_review")
 
 
-def filter_homes(listings: DataFrame, reviews: DataFrame, flt: HomeFilter) -> DataFrame:
-    """Homes passing the listing-level and home-level parameters."""
-    return passing_homes(home_scorecard(listings, reviews, flt), flt)
+def stored_scorecard(listings: DataFrame, reviews: DataFrame) -> DataFrame:
+    """The scorecard of all listings and reviews, written in the order of the home
+    key: a filter on the city or its homes skips files by their value ranges, and
+    a city with most homes lies in many files."""
+    card = home_scorecard(listings, reviews)
+    return materialize(card.repartitionByRange(*HOME_KEY).sortWithinPartitions(*HOME_KEY), "scorecard")
+
+
+def filter_homes(listings: DataFrame, reviews: DataFrame, flt: HomeFilter, card: DataFrame | None = None) -> DataFrame:
+    """Homes passing the listing-level and home-level parameters.
+
+    The city is part of a home's key, so only a year or a room type changes what
+    a home's row aggregates.  Without them the rows are those of the stored
+    scorecard (``card``): its scan gets all thresholds, and no review is read."""
+    if card is None or flt.year is not None or flt.room_type is not None:
+        return passing_homes(home_scorecard(listings, reviews, flt), flt)
+    return passing_homes(card if flt.city is None else card.where(F.col("city") == flt.city), flt)
 
 
 def passing_homes(scorecard: DataFrame, flt: HomeFilter) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
@@ -76,28 +76,52 @@ def checkpoint_dir(spark: SparkSession) -> str:
 _LOCAL_SCRATCH: dict[str, str] = {}
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+def materialize(df: DataFrame, tag: str, folder: str | None = None, partition_by: Sequence[str] = (),
+                bucket_by: Sequence[str] = (), watch: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared checkpoint folder and read it back.
 
     Used where several consumers read one expensive intermediate (the repaired
     staging table of a star build) and where two passes must see identical
     rows (dense keys).  Parquet keeps column pruning for the consumers, and the
     files outlive any executor.
+
+    ``folder``: a folder of the caller's instead (the table's own is ``tag`` in it).
+    ``partition_by``: one subfolder per value, pruned by a filter on the column.
+    ``bucket_by``: hashed into ``spark.sql.shuffle.partitions`` buckets, one sorted
+    file each, so joins on these columns need no exchange; the table is then known
+    to the session's catalog, which keeps the layout.
+    ``watch`` is applied last, in the stage that writes: metrics observed there
+    count every row once, however often an earlier stage is run again.
     """
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), "starloom", f"{tag}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
+    path = os.path.join(folder, tag) if folder else os.path.join(checkpoint_dir(spark), "starloom", f"{tag}-{uuid.uuid4().hex}")
+    if bucket_by:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(buckets, *bucket_by)
+        name = f"starloom_{uuid.uuid4().hex}_{tag}"
+        writer = (watch(df) if watch else df).write.mode("overwrite").option("path", path)
+        writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by).saveAsTable(name, format="parquet")
+        _BUCKETED.setdefault(id(spark), []).append(name)
+        return spark.table(name)
+    (watch(df) if watch else df).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return spark.read.parquet(path)
 
 
+# Catalog names of bucketed intermediates by session; ``release`` drops them.
+_BUCKETED: dict[int, list[str]] = {}
+
+
+def concurrently(jobs: Sequence[Callable[[], T]], max_workers: int = 8) -> list[T]:
+    """Results of independent pieces of driver work that submit Spark jobs."""
+    with ThreadPoolExecutor(max_workers=max(1, min(max_workers, len(jobs)))) as pool:
+        return list(pool.map(lambda job: job(), jobs))
+
+
 def materialize_all(frames: dict[str, DataFrame], max_workers: int = 8) -> dict[str, DataFrame]:
     """``materialize`` several independent frames as concurrent Spark jobs
     (submitted from driver threads; the cluster schedules their tasks)."""
-    if len(frames) <= 1:
-        return {k: materialize(v, k) for k, v in frames.items()}
-    with ThreadPoolExecutor(max_workers=min(max_workers, len(frames))) as pool:
-        futures = {k: pool.submit(materialize, v, k) for k, v in frames.items()}
-        return {k: f.result() for k, f in futures.items()}
+    written = concurrently([lambda k=k, v=v: materialize(v, k) for k, v in frames.items()], max_workers)
+    return dict(zip(frames, written))
 
 
 def shared(spark: SparkSession, key: tuple, build: Callable[[], T]) -> T:
@@ -118,6 +142,8 @@ def release(spark: SparkSession) -> None:
     them any more (end of a batch run), on any file system that Spark reaches.
     Only the application's own subfolder of the checkpoint folder is touched."""
     _SHARED.clear()
+    for name in _BUCKETED.pop(id(spark), []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     try:
         sc = spark.sparkContext
         per_app = sc.getCheckpointDir()  # Spark's per-application subfolder

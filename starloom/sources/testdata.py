@@ -21,18 +21,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..session import shared
+from .listing import listing_fingerprint
 
 # --- fixed values of the analog mapping -----------------------------------------
 VERMONT_ANALOG = "NATION_7"          # plays the state whose postal code is NULL
 RETURN_FLAG_VALUE = "R"              # lineitem flag that marks a returned line
 NO_ACCURACY_MODULUS = 97             # accuracy score NULL when partkey % 97 == 0
-
-
-# Reader DataFrames per (session, path).  The test tables are read-only,
-# so the file listing and footer schema of a path are resolved once per
-# application instead of on every query; the plans stay lazy and every query
-# still scans the files.
-_READERS: dict[tuple[str, str], DataFrame] = {}  # (session id, path) -> reader
+# tables behind the two analogs
+RETAIL_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+RENTAL_TABLES = ("part", "orders", "lineitem")
 
 
 class TestData:
@@ -43,15 +41,20 @@ class TestData:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        path = f"{self.sf_dir}/{name}.parquet"
-        key = (str(id(self.spark)), path)
-        df = _READERS.get(key)
-        if df is None or df.sparkSession is not self.spark:
-            df = self.spark.read.parquet(path)
-            _READERS[key] = df
-        return df
+        """The files that the folder holds now.  Only a table's schema is kept
+        between queries (it saves the job that reads a footer), until ``release``."""
+        if name not in self._tables:
+            path = f"{self.sf_dir}/{name}.parquet"
+            schema = shared(self.spark, ("schema", path), lambda: self.spark.read.parquet(path).schema)
+            self._tables[name] = self.spark.read.schema(schema).parquet(path)
+        return self._tables[name]
+
+    def fingerprint(self, *names: str) -> str:
+        """Stands for the present files of these tables."""
+        return listing_fingerprint(self.spark, [f"{self.sf_dir}/{n}.parquet" for n in names])
 
     # -- retail analog ---------------------------------------------------------
     def flat_orders(self) -> DataFrame:

@@ -18,6 +18,7 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.driver.memory", "4g")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="starloom-test-warehouse-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():

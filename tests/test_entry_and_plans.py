@@ -62,9 +62,9 @@ def test_the_fact_is_not_planned_to_shuffle_on_a_few_values(spark, monkeypatch):
     plans = {}
     real = star.materialize
 
-    def spy(df, tag):
+    def spy(df, tag, **how):
         plans[tag] = _plan(df)
-        return real(df, tag)
+        return real(df, tag, **how)
 
     monkeypatch.setattr(star, "materialize", spy)
     v1 = catalog.star_v1(spark, SF_SMALL)

@@ -83,7 +83,7 @@ def test_hot_order_join_is_split_by_aqe(spark):
 def test_small_dimensions_are_broadcast(spark, monkeypatch):
     # the query returns the written fact; the joins are in the frame that is written
     frames, real = {}, star.materialize
-    monkeypatch.setattr(star, "materialize", lambda df, tag: (frames.update({tag: df}), real(df, tag))[1])
+    monkeypatch.setattr(star, "materialize", lambda df, tag, **how: (frames.update({tag: df}), real(df, tag, **how))[1])
     fact = catalog.star_v1(spark, SF_SMALL).sales_fact
     df = frames["sales_fact"]
     assert sorted(df.collect()) == sorted(fact.collect())
