@@ -19,11 +19,12 @@ from .plans import marts, rental, reports
 from .plans.cubes import SalesMarts
 from .plans.rental import HomeFilter
 from .plans.star import DELIVER_KEY, PRODUCT_KEY
-from .schemas import MODEL_V1, MODEL_V2
+from .schemas import MODEL_V1, MODEL_V2, ORDERS_SCHEMA
 from .plans.star import StarV1, StarV2, build_all
 from .plans.store import ModelStore
 from .schemas import FLAT_COLUMNS
 from .session import checkpoint_dir, materialize, shared
+from .sources.files import Loaded, load_sheet
 from .sources.testdata import RENTAL_TABLES, RETAIL_TABLES, VERMONT_ANALOG, TestData
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +94,10 @@ def queries() -> dict[str, Query]:
         TestData(s, d).flat_orders().select("order_id").distinct(), dedup_returns(TestData(s, d).returns()))
     q["conform_orders"] = lambda s, d: conform_orders(TestData(s, d).flat_orders())
 
+    # the extract as a CSV sheet with damaged lines, loaded whole
+    q["load_orders_csv"] = lambda s, d: load_orders_csv(s, d).rows
+    q["load_orders_rejects"] = lambda s, d: load_orders_csv(s, d).rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
+
     # v1 star
     q["dim_customer"] = lambda s, d: star_v1(s, d, stage=False).customer_dim
     q["dim_manager"] = lambda s, d: star_v1(s, d, stage=False).manager_dim
@@ -172,6 +177,7 @@ DRILL_CITY = HomeFilter(year=1998, city=SELECTED_CITY, min_reviews=5, min_bedroo
 DRILL_CITY_ALL_YEARS = HomeFilter(city=SELECTED_CITY, min_reviews=5, min_bedrooms=2, min_capacity=3)
 TOP_FILTER = HomeFilter(min_reviews=20, min_bedrooms=2, min_capacity=3)
 TOP_N = 10
+DAMAGE_MODULUS = 97  # orders whose id has remainder 0, 1 or 2 have damaged lines in the CSV sheet
 YEAR = 1996
 MART_REPORTS = ["monthly_sales_by_segment", "monthly_sales_by_category", "sales_by_category", "sales_profit_by_customer",
                 "sales_by_region"]
@@ -217,6 +223,22 @@ def sales_marts(spark: SparkSession, sf_dir: str) -> SalesMarts:
                   lambda: SalesMarts(models(spark, sf_dir)[0].raw_staging))
 
 
+def load_orders_csv(spark: SparkSession, sf_dir: str) -> Loaded:
+    """The extract written as CSV lines, those of some orders damaged (the line
+    ends after a few fields, its quantity is no number, or its id is empty), and
+    loaded with the bad lines quarantined."""
+    flat = TestData(spark, sf_dir).flat_orders()
+    kind = F.col("order_id").cast("long") % DAMAGE_MODULUS
+    broken = (flat.withColumn("kind", kind).withColumn("quantity", F.col("quantity").cast("string"))
+              .withColumn("quantity", F.when(F.col("kind") == 1, F.lit("many")).otherwise(F.col("quantity")))
+              .withColumn("row_id", F.when(F.col("kind") == 2, F.lit(None)).otherwise(F.col("row_id"))))
+    line = F.to_csv(F.struct(*FLAT_COLUMNS), {"escape": '"'})
+    lines = broken.select(F.when(F.col("kind") == 0, F.substring_index(line, ",", 5)).otherwise(line).alias("value"))
+    path = f"{checkpoint_dir(spark)}/starloom/sheet-{uuid.uuid4().hex}.csv"
+    lines.write.text(path)
+    return load_sheet(spark, path, ORDERS_SCHEMA, header=False)
+
+
 def refresh_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5: both models written as a new generation of a store, published, read
     back as typed tables and counted, with the declared rules that rows break."""

@@ -136,7 +136,7 @@ def test_model_reports_see_a_changed_table(spark, tmp_path):
     half.write.parquet(f"{folder}/lineitem.parquet")
     after = {k: q[k](spark, folder).collect() for k in keys}
     assert after["total_sales"] == after["total_sales_v1"] == after["total_sales_v2"] != before["total_sales"]
-    assert after["sales_by_category_mart"] == sorted(q["sales_by_category"](spark, folder).collect())
+    assert sorted(after["sales_by_category_mart"]) == sorted(q["sales_by_category"](spark, folder).collect())
     assert after["top_homes"] != before["top_homes"]
     assert q["audit_type_fit"](spark, folder).where("table_name = 'sales_fact'").first().checked_rows == half.count()
 
