@@ -26,7 +26,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import concurrently, materialize
 
 _PID, _MID, _START, _CNT, _GID = "__pid", "__mid", "__start", "__cnt", "__gid"
 
@@ -89,10 +89,10 @@ def dense_keys(df: DataFrame, specs: Mapping[str, tuple[Sequence[str], str, int]
         return sum(1 << (n - 1 - i) for i, c in enumerate(cols) if c not in keys)
 
     snap = materialize(df.groupingSets(sets, *cols).agg(F.grouping_id().alias(_GID)), "keysets")
-    out = {}
-    for name, (keys, out_col, offset) in specs.items():
-        g = gid(keys)
-        part = snap.where(F.col(_GID) == g).select(*keys)
-        keyed = row_number_global(part, list(keys), out_col, offset)
-        out[name] = keyed.select(out_col, *keys)
-    return out
+
+    def number(keys: Sequence[str], out_col: str, offset: int) -> DataFrame:
+        part = snap.where(F.col(_GID) == gid(keys)).select(*keys)
+        return row_number_global(part, list(keys), out_col, offset).select(out_col, *keys)
+
+    # the sets are independent: numbered as concurrent jobs
+    return dict(zip(specs, concurrently([lambda spec=spec: number(*spec) for spec in specs.values()])))

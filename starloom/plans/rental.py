@@ -100,6 +100,24 @@ def _mean4(sum_col: str, n_col: str, scale_num: str) -> Column:
     return scaled_decimal(half_up_div(f"{sum_col} * {scale_num}", n_col), 4, 10)
 
 
+# The latest listing as one number: days, then listings of smaller id.  A maximum over
+# a decimal is a hash aggregate, over a struct it would sort all rows; the order is
+# the same, and an attribute in the digits below comes from the same listing.
+MAX_ID, IDS, VALUES = (1 << 63) - 1, 1 << 64, 1 << 33
+LATEST = (f"CAST(datediff(coalesce(last_review, DATE '{NO_REVIEW_DATE}'), DATE '0001-01-01') AS DECIMAL(10,0)) * {IDS} "
+          f"+ ({MAX_ID} - CAST(listing_id AS DECIMAL(20,0)))")
+LATEST_ATTRIBUTES = ["bedrooms", "accommodates"]
+
+
+def _beside_latest(attribute: str) -> Column:
+    """The number of the latest listing with its attribute (an int, or NULL as 0) in the low digits."""
+    return F.expr(f"CAST(({LATEST}) * {VALUES} + coalesce(CAST({attribute} AS BIGINT) + {(1 << 31) + 1}, 0) AS DECIMAL(38,0))")
+
+
+def _unpacked(packed: str) -> Column:
+    return F.expr(f"CAST(nullif(CAST({packed} % {VALUES} AS BIGINT), 0) - {(1 << 31) + 1} AS INT)")
+
+
 def home_scorecard(listings: DataFrame, reviews: DataFrame, flt: HomeFilter = HomeFilter(),
                    home_key: Sequence[str] = HOME_KEY) -> DataFrame:
     """D26 (also the base of D21, D22, B6, B7, F2-F4): one row per home.
@@ -108,13 +126,11 @@ def home_scorecard(listings: DataFrame, reviews: DataFrame, flt: HomeFilter = Ho
     six sub-scores: plain means; bedrooms / accommodates: from the listing with
     the latest review (ties: smallest listing_id)."""
     lr = listing_reviews(listings, reviews, flt)
-    latest_order = F.struct(F.coalesce(F.col("last_review"), F.lit(NO_REVIEW_DATE).cast("date")),
-                            -F.col("listing_id"))
-    latest = F.max_by(F.struct("listing_id", "bedrooms", "accommodates"), latest_order)
     aggs = [F.count(F.lit(1)).alias("listings"),
             F.sum("reviews").cast("long").alias("reviews"),
             F.max("last_review").alias("last_review"),
-            latest.alias("__latest"),
+            F.max(F.expr(LATEST)).alias("__latest"),
+            *[F.max(_beside_latest(c)).alias(f"__{c}") for c in LATEST_ATTRIBUTES],
             F.sum("__u").alias("__u_sum"), F.count("__u").alias("__u_n"),
             F.sum(_units("review_scores_rating")).alias("__r_sum"), F.count("review_scores_rating").alias("__r_n"),
             F.sum((F.col("price") * 100).cast("long")).alias("__p_sum"), F.count("price").alias("__p_n")]
@@ -122,9 +138,8 @@ def home_scorecard(listings: DataFrame, reviews: DataFrame, flt: HomeFilter = Ho
         aggs += [F.sum(_units(c)).alias(f"__s{i}_sum"), F.count(c).alias(f"__s{i}_n")]
     h = lr.groupBy(*home_key).agg(*aggs)
     cols = [*home_key, "listings", "reviews", "last_review",
-            F.col("__latest.listing_id").alias("latest_listing_id"),
-            F.col("__latest.bedrooms").alias("bedrooms"),
-            F.col("__latest.accommodates").alias("accommodates"),
+            F.expr(f"CAST({MAX_ID} - __latest % {IDS} AS BIGINT)").alias("latest_listing_id"),
+            *[_unpacked(f"__{c}").alias(c) for c in LATEST_ATTRIBUTES],
             scaled_decimal(half_up_div("__u_sum", "__u_n * 6"), 4, 10).alias("home_rating"),
             _mean4("__r_sum", "__r_n", "1").alias("review_scores_rating"),
             scaled_decimal(half_up_div("__p_sum", "__p_n"), 2, 12).alias("avg_price")]

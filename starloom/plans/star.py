@@ -169,14 +169,16 @@ class _Model:
     def _is_hot(self, name: str) -> bool:
         """Whether one order has more lines than an average bucket.  Lines are then
         not bucketed by order: a join can split a hot order across tasks only
-        where both sides are shuffled for it."""
-        watched = self.watched[name]
+        where both sides are shuffled for it.  Known from any written table of orders."""
+        watched = self.watched.get("order_dim") or self.watched[name]
         return watched.metric("most") * self.buckets > watched.metric("all")
 
-    def _lines(self, name: str, df: DataFrame, orders_name: str, orders: DataFrame) -> DataFrame:
+    def _lines(self, name: str, df: DataFrame, orders_name: str) -> DataFrame:
         """A table of order lines, in the buckets of its table of orders."""
         if not self._stage:
             return df
+        if not {"order_dim", orders_name} & set(self.watched):
+            getattr(self, orders_name)
         return self._table(name, df, bucket_by=() if self._is_hot(orders_name) else ["order_id"])
 
     def _with_orders(self, lines: DataFrame, name: str, orders: DataFrame) -> DataFrame:
@@ -187,7 +189,8 @@ class _Model:
 
     def build(self, phases: int | None = None) -> "_Model":
         """Write all tables (of the first phases), independent ones at the same time."""
-        for phase in self.PHASES[:phases]:
+        plan = self.BESIDE_V1 if "order_dim" in self.watched else self.PHASES
+        for phase in plan[:phases]:
             concurrently([lambda n=n: getattr(self, n) for n in phase])
         return self
 
@@ -202,6 +205,10 @@ class _Model:
 
     PHASES: Sequence[Sequence[str]] = ()
 
+    @property
+    def BESIDE_V1(self) -> Sequence[Sequence[str]]:
+        return self.PHASES
+
     def tables(self) -> dict[str, DataFrame]:
         raise NotImplementedError
 
@@ -256,7 +263,7 @@ class StarV1(_Model):
                 .join(self.product_dim, PRODUCT_KEY)
                 .join(self.deliver_dim, DELIVER_KEY)
                 .join(self.ship_dim, ["ship_mode"]))
-        return self._lines("sales_fact", fact.select(*FACT_COLUMNS), "order_dim", self.order_dim)
+        return self._lines("sales_fact", fact.select(*FACT_COLUMNS), "order_dim")
 
     def tables(self) -> dict[str, DataFrame]:
         return {"customer_dim": self.customer_dim, "manager_dim": self.manager_dim,
@@ -290,6 +297,8 @@ class StarV1(_Model):
 
 class StarV2(_Model):
     PHASES = (("raw_staging",), ("_tables_of_keys", "_customers", "_managers"), ("orders_v2",), ("order_details_v2",))
+    # with the first model's orders known, headers and details are written at the same time
+    BESIDE_V1 = (*PHASES[:2], ("orders_v2", "order_details_v2"))
 
     @property
     def _tables_of_keys(self) -> DataFrame:
@@ -340,7 +349,7 @@ class StarV2(_Model):
     def order_details_v2(self) -> DataFrame:
         """Lines with measures and the product key."""
         details = self.staging.join(self.product_dim_v2, PRODUCT_KEY).select(*DETAIL_COLUMNS)
-        return self._lines("order_details_v2", details, "orders_v2", self.orders_v2)
+        return self._lines("order_details_v2", details, "orders_v2")
 
     def tables(self) -> dict[str, DataFrame]:
         return {"ship_dim_v2": self.ship_dim_v2, "product_dim_v2": self.product_dim_v2,

@@ -169,3 +169,21 @@ def test_large_sheets_are_split(spark, tmp_path):
         assert read_listings(spark, one).rdd.getNumPartitions() == 1
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+# the latest listing
+
+@pytest.mark.parametrize("reviewed", [{}, {5: "2020-01-01", 3: "2020-01-01"}, {5: "9999-12-31"}, {2 ** 63 - 1: "1901-01-01"},
+                                      {5: "0001-01-01"}, {3: "2019-02-28", -2 ** 63: "2019-02-27"}])
+def test_latest_listing_is_a_hash_aggregate_and_exact(spark, reviewed):
+    listed = {5: (None, -2 ** 31), 3: (2 ** 31 - 1, None), -2 ** 63: (7, 8), 2 ** 63 - 1: (0, 0)}
+    listings = spark.createDataFrame([(i, "n", "c", "h", "r", b, a, D("1.00"), *[D("5.0000")] * 7) for i, (b, a) in listed.items()],
+                                     schemas.LISTINGS_SCHEMA)
+    reviews = spark.createDataFrame([(i, day, 1) for i, day in reviewed.items()], "listing_id long, day string, reviewer_id long")
+    reviews = reviews.select("listing_id", F.col("day").cast("date").alias("review_date"), "reviewer_id")
+    card = rental.home_scorecard(listings, reviews)
+    (row,) = card.collect()
+    want = min(listed, key=lambda i: ([-ord(c) for c in reviewed.get(i, "1900-01-01")], i))
+    assert (row.latest_listing_id, row.bedrooms, row.accommodates) == (want, *listed[want])
+    plan = card._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
