@@ -1,9 +1,9 @@
 """Best-fit packing of tokenised documents by minimum bin slack.
 
 Tokens.  A document is its tokens and one end token.  Texts whose code points
-are all below U+0100 go through a table of pre-tokens that a task has seen (the
-model merges nothing across pre-tokens; the table is bounded and starts anew
-when full); other texts, and texts that hold a special token's string, go
+are all below U+0100 go through a table of pre-tokens that a worker has seen (the
+model merges nothing across pre-tokens; the table is bounded, and when full keeps
+what the present batch has too); other texts, and texts that hold a special token's string, go
 through the library whole.  Only documents beyond the room of a sequence are
 cut, into full pieces and one rest.
 
@@ -34,6 +34,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +47,8 @@ from .common import bounded_batches, materialize
 TOKENIZER = "word_bpe_49k.json"
 ROOM = 4096
 END = 1
-#: Pre-tokens that a task keeps.
-TABLE_TOKENS = 400_000
+#: Pre-tokens that a Python worker keeps.
+TABLE_TOKENS = 600_000
 #: New pre-tokens that the library gets in one text.
 WORDS_AT_ONCE = 2000
 _WORD_END = "</w>"
@@ -97,10 +98,12 @@ class Tokens:
 
     def _by_pretokens(self, texts: list[str]) -> list[np.ndarray]:
         table, split = self.table, [_PRETOKEN.findall(t.lower()) for t in texts]
-        new = list(set().union(*split).difference(table))
-        if len(table) + len(new) > self.most:
+        seen = set().union(*split)
+        new = list(seen.difference(table))
+        if len(table) + len(new) > self.most:  # what this batch has too is likely frequent: that stays
+            kept = {w: table[w] for w in seen.difference(new)}
             table.clear()
-            new = list(set().union(*split))
+            table.update(kept)
         table.update(zip(new, self._of_words(new)))
         found = [np.frombuffer(b"".join(map(table.__getitem__, words)), np.uint32) for words in split]
         if len(table) > self.most:  # one batch alone
@@ -120,13 +123,19 @@ def _narrow(text: str) -> bool:
         return False
 
 
+@lru_cache(maxsize=1)
+def worker_tokens(path: str) -> Tokens:
+    """One table per Python worker: Spark gives a worker many tasks in turn."""
+    return Tokens(path)
+
+
 def pieces(docs: DataFrame, path: str | None = None, room: int = ROOM, end: int = END, with_ids: bool = False,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, and on demand ids."""
     bounded_batches(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(path or tokenizer_path())
+        tokens = worker_tokens(path or tokenizer_path())
         for batch in batches:
             columns = row, piece, start, length, digest, data = [], [], [], [], [], []
             for i, ids in enumerate(tokens.of([t or "" for t in batch.column(1).to_pylist()])):
