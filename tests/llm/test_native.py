@@ -24,6 +24,38 @@ def test_one_row_of_each_group_stays(spark):
     assert ids == {3, 6, 7, 8, 9, None, 10}
 
 
+def test_runs_are_merged_in_binomial_rounds(spark, monkeypatch):
+    assert [exact_dedup.rounds(n) for n in (1, 2, 3, 5, 16, 17)] == [0, 1, 2, 3, 4, 5]
+    assert [exact_dedup.rounds(n, 4) for n in (1, 2, 5, 16, 17)] == [0, 1, 2, 2, 3]
+    merged = []
+    real = exact_dedup._merged
+    monkeypatch.setattr(exact_dedup, "_merged", lambda rows, tasks: merged.append(real(rows, tasks)) or merged[-1])
+    rows = [(i, f"text {i % 7}" + " " * (i % 3), "en", "a") for i in range(40)]
+    for n in (1, 2, 5, 16):
+        merged.clear()
+        runs = exact_dedup.digest_runs(documents(spark, rows).repartition(n))
+        found = exact_dedup.merge_runs(runs)
+        # the runs themselves are put in order first, then one merge a round, whatever the size
+        assert len(merged) == 1 + exact_dedup.rounds(n)
+        assert [m.select("run").distinct().count() for m in merged] == [-(-n // 2 ** k) for k in range(len(merged))]
+        assert {(r.keep_id, r.group_size) for r in found.collect()} == {
+            (min((j for j in range(40) if j % 7 == i), key=lambda j: (-(j % 3), j)), sum(j % 7 == i for j in range(40))) for i in range(7)}
+        plan = merged[-1]._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == len(merged), "a merge moves the runs once and sorts where they meet"
+
+
+def test_unique_rows_pass_without_a_shuffle(spark):
+    rows = [(i, "word " * 50 + str(i if i % 10 else i % 20), "en", "a") for i in range(400)]
+    docs = documents(spark, rows).repartition(4)
+    for bits in (exact_dedup.MAP_BITS, 1 << 15):
+        kept = exact_dedup.drop_copies(docs, bits=bits)
+        assert kept.count() == 360 + 2
+    left = kept._jdf.queryExecution().executedPlan().toString().split("Union")[1].split("Exchange hashpartitioning")[0]
+    assert "BroadcastHashJoin" in left
+    maps = exact_dedup.repeated_bits(spark.range(10 ** 5).select(F.xxhash64("id").alias("check")), 1 << 18)
+    assert maps.count() == 8 and maps.select(F.sum(F.octet_length("bits"))).first()[0] == 8 * 4096
+
+
 def test_fan_in_does_not_matter(spark):
     docs = documents(spark).repartition(9)
     a, b = (exact_dedup.exact_groups(docs, fan_in=f).select("doc_id", "keep_id", "group_size", "text_sha256") for f in (2, 64))
