@@ -44,6 +44,8 @@ from .common import bounded_batches, fresh, materialize, words
 WINDOW = 10
 SHARD_WORDS = 1 << 19
 BLOCK_BYTES = 4 << 20
+#: Places of longest matches that are looked at together.
+PLACES = 1 << 20
 
 _MATCH = T.StructType([T.StructField("item_id", T.StringType()), T.StructField("item_word", T.LongType()),
                        T.StructField("doc_word", T.LongType()), T.StructField("n_words", T.LongType())])
@@ -167,61 +169,82 @@ def _merged(places: np.ndarray, sizes: np.ndarray) -> list[dict]:
     return [{"first": a, "end": b} for a, b in zip(s[head].tolist(), e[last].tolist())]
 
 
-def scan(docs: list[list[bytes]], test: TestSet) -> list[dict]:
-    """One result per document of a shard."""
+def scan(docs: list[list[bytes]], test: TestSet, matches: bool = True) -> list[dict]:
+    """One result per document of a shard; without ``matches`` their list stays empty."""
     out = [{"n_words": len(d), "hits": [], "items": [], "matches": []} for d in docs]
     if not test.texts or not any(docs):
         return out
     shard = Shard(docs, test.depth)
     length, lo, hi, w_lo, w_hi = shard.search(test)
+    _windows(out, shard, test, w_lo, w_hi)
+    if matches:
+        _longest(out, shard, test, length, lo, hi)
+    return out
+
+
+def _windows(out: list[dict], shard: Shard, test: TestSet, w_lo: np.ndarray, w_hi: np.ndarray) -> None:
+    """Hits and items of each document.  Equal windows have one range of places,
+    and ranges of one window length are disjoint: each is opened once, however
+    often its words repeat within and among items."""
+    occurs = np.flatnonzero(w_lo < w_hi)
+    if not len(occurs):
+        return
+    ranges, of_range = np.unique(np.stack([w_lo[occurs], w_hi[occurs], test.window[occurs]]), axis=1, return_inverse=True)
+    pairs = np.unique(np.stack([of_range.ravel(), test.item[occurs]]), axis=1)
+    items_of = np.split(pairs[1], np.flatnonzero(np.diff(pairs[0])) + 1)
 
-    suffix, place = _ranges(w_lo, w_hi)
+    owner, place = _ranges(ranges[0], ranges[1])
     place = shard.array[place]
     doc = np.searchsorted(shard.ends, place, side="right")
     order = np.argsort(doc, kind="stable")
-    suffix, place, doc = suffix[order], place[order], doc[order]
-    cuts = np.flatnonzero(np.diff(doc)) + 1
-    for part in np.split(np.arange(len(doc)), cuts) if len(doc) else []:
+    owner, place, doc = owner[order], place[order], doc[order]
+    for part in np.split(np.arange(len(doc)), np.flatnonzero(np.diff(doc)) + 1):
         d = int(doc[part[0]])
-        own, at = suffix[part], place[part] - shard.begins[d]
-        out[d]["hits"] = _merged(at, test.window[own])
-        out[d]["items"] = sorted({test.ids[i] for i in np.unique(test.item[own])})
-
-    # longest matches: those that no match one word earlier in the same item extends
-    long_ = np.flatnonzero((length >= test.window) & (test.window > 0))
-    suffix, place = _ranges(lo[long_], hi[long_])
-    suffix, place = long_[suffix], shard.array[place]
-    starts = shard.symbols[np.maximum(place - 1, 0)] * (place > 0)
-    head = np.array([t[j - 1] if j else b"" for t, j in ((test.texts[test.item[s]], test.start[s]) for s in suffix.tolist())], object)
-    number = shard.number
-    extends = np.array([bool(w) and number.get(w, -1) == x for w, x in zip(head, starts.tolist())], bool)
-    for s, p in zip(suffix[~extends].tolist(), place[~extends].tolist()):
-        d = int(np.searchsorted(shard.ends, p, side="right"))
-        out[d]["matches"].append({"item_id": test.ids[test.item[s]], "item_word": int(test.start[s]),
-                                  "doc_word": p - int(shard.begins[d]), "n_words": int(length[s])})
-    return out
-
-
-def _scan_batch(texts: list[str | None], test: TestSet, shard_words: int) -> list[dict]:
+        out[d]["hits"] = _merged(place[part] - shard.begins[d], ranges[2][owner[part]])
+        out[d]["items"] = sorted({test.ids[i] for r in np.unique(owner[part]) for i in items_of[r].tolist()})
+
+
+def _longest(out: list[dict], shard: Shard, test: TestSet, length: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> None:
+    """Longest matches: those that no match one word earlier in the same item
+    extends.  Suffixes are opened some ``PLACES`` places at a time."""
+    long_ = np.flatnonzero((length >= test.window) & (test.window > 0) & (lo < hi))
+    number, start = shard.number, 0
+    sizes = np.cumsum(hi[long_] - lo[long_])
+    while start < len(long_):
+        end = max(start + 1, int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + PLACES, "right")))
+        some, start = long_[start:end], end
+        owner, place = _ranges(lo[some], hi[some])
+        suffix, place = some[owner], shard.array[place]
+        ahead = shard.symbols[np.maximum(place - 1, 0)] * (place > 0)
+        head = np.array([number.get(test.texts[test.item[s]][test.start[s] - 1], -1) if test.start[s] else -1 for s in some.tolist()],
+                        np.int64)[owner]
+        alone = head != ahead  # symbol 0, an item's or document's begin, extends nothing
+        for s, p in zip(suffix[alone].tolist(), place[alone].tolist()):
+            d = int(np.searchsorted(shard.ends, p, side="right"))
+            out[d]["matches"].append({"item_id": test.ids[test.item[s]], "item_word": int(test.start[s]),
+                                      "doc_word": p - int(shard.begins[d]), "n_words": int(length[s])})
+
+
+def _scan_batch(texts: list[str | None], test: TestSet, shard_words: int, matches: bool = True) -> list[dict]:
     out, docs, n = [], [], 0
     for t in texts:
         w = words(t)
         if docs and n + len(w) > shard_words:
-            out += scan(docs, test)
+            out += scan(docs, test, matches)
             docs, n = [], 0
         docs.append(w)
         n += len(w) + 1
-    return out + scan(docs, test) if docs else out
+    return out + scan(docs, test, matches) if docs else out
 
 
-def _scanner(items: list[tuple[str, list[bytes]]], window: int, shard_words: int) -> Callable[[Column], Column]:
+def _scanner(items: list[tuple[str, list[bytes]]], window: int, shard_words: int, matches: bool) -> Callable[[Column], Column]:
     def scan_texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         test = TestSet(items, window)
         kind = pa.struct([("n_words", pa.int64()), ("hits", pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))), ("items", pa.list_(pa.string())),
                           ("matches", pa.list_(pa.struct([("item_id", pa.string()), ("item_word", pa.int64()),
                                                           ("doc_word", pa.int64()), ("n_words", pa.int64())])))])
         for texts in batches:
-            yield pa.array(_scan_batch(texts.to_pylist(), test, shard_words), kind)
+            yield pa.array(_scan_batch(texts.to_pylist(), test, shard_words, matches), kind)
 
     return F.arrow_udf(scan_texts, RESULT)
 
@@ -275,20 +298,21 @@ def _items(block: DataFrame) -> list[tuple[str, list[bytes]]]:
 
 
 def with_matches(docs: DataFrame, benchmark: DataFrame, into: str, window: int = WINDOW, text_col: str = "text",
-                 shard_words: int = SHARD_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                 shard_words: int = SHARD_WORDS, block_bytes: int = BLOCK_BYTES, matches: bool = True) -> DataFrame:
     """``docs`` with a column ``into``: an array with the RESULT of the first test
-    block, and of each further block that has a hit or match in the document."""
+    block, and of each further block that has a hit or match in the document.
+    Longest matches are looked for and returned only where ``matches`` says so."""
     bounded_batches(docs.sparkSession)
     blocks = test_blocks(benchmark, block_bytes)
     if len(blocks) < 2:
         items = _items(blocks[0]) if blocks else []
-        return docs.withColumn(into, F.array(_scanner(items, window, shard_words)(F.col(text_col))))
+        return docs.withColumn(into, F.array(_scanner(items, window, shard_words, matches)(F.col(text_col))))
     row = fresh(docs, "row")
     docs = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "scan-documents")
     passes = None
     for k, block in enumerate(blocks):
         found = docs.select(F.col(row).alias("row"), F.lit(k).alias("block"),
-                            _scanner(_items(block), window, shard_words)(F.col(text_col)).alias("result"))
+                            _scanner(_items(block), window, shard_words, matches)(F.col(text_col)).alias("result"))
         if k:
             found = found.filter((F.size("result.hits") > 0) | (F.size("result.matches") > 0))
         found = materialize(found, "scan-block")
@@ -327,7 +351,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
                       **bounds) -> DataFrame:
     """The documents without a window of any test item, all columns as they came."""
     found = fresh(docs, "found")
-    scanned = with_matches(docs, benchmark, found, window, text_col, **bounds)
+    scanned = with_matches(docs, benchmark, found, window, text_col, matches=False, **bounds)
     return scanned.filter(~F.exists(found, lambda x: F.size(x["hits"]) > 0)).drop(found)
 
 

@@ -98,3 +98,52 @@ def test_sources_never_meet_in_one_task(spark):
         left, weight = left - cap, weight - w
     assert len(rows) == 3000
     assert all(abs(rows[s][1] - min(cap, w * left / weight)) < 1e-6 for s, (cap, w) in caps.items())
+
+
+def test_repetition_is_scanned_in_bounded_memory():
+    """A test item and a document of one repeated word: windows are opened once, and
+    the longest matches some places at a time."""
+    import tracemalloc
+
+    test = decontaminate.TestSet([("x", [b"a"] * 200), ("y", [b"a"] * 40 + [b"b"])], 10)
+    for matches, most in ((False, 60), (True, 250)):
+        tracemalloc.start()
+        (row,) = decontaminate.scan([[b"a"] * 200_000], test, matches)
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+        tracemalloc.stop()
+        assert row["hits"] == [{"first": 0, "end": 200_000}] and row["items"] == ["x", "y"] and peak < most
+    longest = [m for m in row["matches"] if m["item_id"] == "x"]
+    assert len(longest) == 200_000 - 9
+
+
+@pytest.mark.parametrize("places", [1, 7, 1 << 20])
+def test_windows_and_longest_matches_are_those_of_brute_force(places, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PLACES", places)
+    rnd = random.Random(9)
+    for _ in range(40):
+        docs = [[rnd.choice([b"a", b"b", b"c"]) for _ in range(rnd.randint(0, 30))] for _ in range(4)]
+        items = [(f"i{k}", [rnd.choice([b"a", b"b"]) for _ in range(rnd.randint(0, 12))]) for k in range(3)]
+        got = decontaminate.scan(docs, decontaminate.TestSet(items, 4))
+        without = decontaminate.scan(docs, decontaminate.TestSet(items, 4), matches=False)
+        text = [tuple(d) for d in docs]
+        for d, row, bare in zip(text, got, without):
+            hit, found = set(), set()
+            for i, w in items:
+                n = min(4, len(w))
+                for j in range(len(w) - n + 1 if n else 0):
+                    for p in range(len(d) - n + 1):
+                        if d[p:p + n] == tuple(w[j:j + n]):
+                            hit |= set(range(p, p + n))
+                            found.add(i)
+            assert {x for r in row["hits"] for x in range(r["first"], r["end"])} == hit and row["items"] == sorted(found)
+            assert (bare["hits"], bare["items"], bare["matches"]) == (row["hits"], row["items"], [])
+            for m in row["matches"]:
+                w, j, p, n = dict(items)[m["item_id"]], m["item_word"], m["doc_word"], m["n_words"]
+                assert d[p:p + n] == tuple(w[j:j + n])
+                assert not (j and p and d[p - 1] == w[j - 1]), "not extended to the left"
+        for i, w in items:  # every window that occurs has a longest match at a place where no match is longer
+            for j in range(len(w) - 3 if len(w) >= 4 else 0):
+                best = max((n for n in range(4, len(w) - j + 1) for d in text for p in range(len(d) - n + 1) if d[p:p + n] == tuple(w[j:j + n])),
+                           default=0)
+                here = [m["n_words"] for row in got for m in row["matches"] if (m["item_id"], m["item_word"]) == (i, j)]
+                assert all(n == best for n in here)
