@@ -15,8 +15,10 @@ share of a softmax over the costs, and a prediction is ambiguous when the
 runner-up costs less than ``AMBIGUOUS`` times as much.
 
 Training reads all labelled documents of the training part: n-gram counts are
-summed per language, a table of languages x BUCKETS.  Languages are the values
-of ``lang``; more than ``MOST_LANGS`` are an error, none are dropped.
+summed per language.  Languages are the values of ``lang``, however many (a noisy
+column has thousands): the driver fits the classifiers, bits x BUCKETS numbers,
+from ``LANGS_AT_ONCE`` languages' counts at a time, and bits grow with the
+logarithm of the number of languages.
 
 Defined cases: a null text or one without a letter is "und" with score 0; with
 no training documents every text is; rows with a null lang are predicted but
@@ -28,7 +30,7 @@ from __future__ import annotations
 
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +45,10 @@ BUCKETS = 1 << 15
 ORDERS = (2, 3)
 SMOOTH = 0.5
 EXHAUSTIVE = 7
-MOST_LANGS = 128
+#: Languages whose counts (BUCKETS numbers each) are on the driver at once.
+LANGS_AT_ONCE = 64
+#: Distances between codewords, over all random codes that are tried.
+TRIES = 10 ** 8
 AMBIGUOUS = 1.25
 #: The slope that turns a margin (in nats per n-gram) into a loss.
 SLOPE = 8.0
@@ -69,8 +74,19 @@ def grams(text: str) -> np.ndarray:
     return np.concatenate(found)
 
 
+def _least_distance(code: np.ndarray) -> int:
+    """Smallest Hamming distance of two codewords, some rows at a time."""
+    least, signs = code.shape[1], code.astype(np.float32)
+    for s in range(0, len(code), 256):
+        distance = (code.shape[1] - signs[s:s + 256] @ signs.T) / 2
+        distance[np.arange(len(distance)), np.arange(s, s + len(distance))] = code.shape[1]
+        least = min(least, int(distance.min()))
+    return least
+
+
 def codewords(n: int, seed: int = 1) -> np.ndarray:
-    """n rows of +1 and -1; no column is constant or another's complement."""
+    """n rows of +1 and -1; no column is constant or another's complement.  The
+    more languages, the fewer random codes are tried: long ones are all alike."""
     if n < 2:
         return np.zeros((n, 0), np.int8)
     if n <= EXHAUSTIVE:
@@ -78,25 +94,33 @@ def codewords(n: int, seed: int = 1) -> np.ndarray:
         return np.array(columns, np.int8).T
     rng, bits = np.random.default_rng(seed), int(np.ceil(10 * np.log2(n)))
     best, most = None, -1
-    for _ in range(200):
+    for _ in range(max(1, min(200, TRIES // (n * n)))):
         code = rng.choice(np.array([1, -1], np.int8), (n, bits))
-        if (np.abs(code.sum(0)) == n).any():
-            continue
-        least = min(int((code[i] != code[j]).sum()) for i in range(n) for j in range(i))
-        if least > most:
+        while (constant := np.abs(code.sum(0, dtype=np.int64)) == n).any():
+            code[:, constant] = rng.choice(np.array([1, -1], np.int8), (n, int(constant.sum())))
+        if (least := _least_distance(code)) > most:
             best, most = code, least
     return best
 
 
 class Model:
-    """Bit classifiers and codewords."""
+    """Bit classifiers and codewords.  The classifiers are sums over languages, so
+    a model is fitted from a few languages' counts at a time."""
 
-    def __init__(self, langs: list[str], counts: np.ndarray):
+    def __init__(self, langs: list[str], counts: Iterable[np.ndarray]):
+        """``counts``: n-gram counts of consecutive languages, a row each."""
         self.langs, self.code = langs, codewords(len(langs))
-        p = (counts + SMOOTH) / (counts.sum(1, keepdims=True) + SMOOTH * BUCKETS)
-        bits = self.code.shape[1]
-        ones = [self.code[:, b] == 1 for b in range(bits)]
-        self.ratios = [np.log(p[one].mean(0) / p[~one].mean(0)) for one in ones]
+        one = self.code.T == 1  # bits x languages
+        sums = np.zeros((2, len(one), BUCKETS))
+        at = 0
+        for block in counts:
+            p = (block + SMOOTH) / (block.sum(1, keepdims=True) + SMOOTH * BUCKETS)
+            here = one[:, at:at + len(block)].astype(float)
+            sums[0] += here @ p
+            sums[1] += (1 - here) @ p
+            at += len(block)
+        n_one = one.sum(1)[:, None]
+        self.ratios = list(np.log((sums[0] / np.maximum(n_one, 1)) / (sums[1] / np.maximum(len(langs) - n_one, 1)))) if len(one) else []
 
     def margins(self, text: str | None) -> list[float] | None:
         if not self.langs or not has_letter(text):
@@ -105,8 +129,8 @@ class Model:
         return [float(r[found].sum() / max(1, len(found))) for r in self.ratios]
 
 
-def _counts(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """The languages of labelled rows and their n-gram counts."""
+def _counts(docs: DataFrame) -> tuple[list[str], Iterator[np.ndarray]]:
+    """The languages of labelled rows and their n-gram counts, some languages at a time."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -129,15 +153,17 @@ def _counts(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     sums = (docs.select("text", "lang").mapInArrow(count, "lang string, bucket int, n long")
             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
     sums = materialize(sums, "langid-counts")
-    langs = [r.lang for r in sums.select("lang").distinct().limit(MOST_LANGS + 1).collect()]
-    if len(langs) > MOST_LANGS:
-        raise ValueError(f"more than {MOST_LANGS} languages: raise MOST_LANGS if that is meant")
-    langs = sorted(langs)
-    counts = np.zeros((len(langs), BUCKETS))
-    for k, lang in enumerate(langs):  # one bounded vector at a time
-        found = sums.filter(F.col("lang") == lang).select("bucket", "n").toPandas()
-        counts[k, found["bucket"].to_numpy()] = found["n"].to_numpy()
-    return langs, counts
+    langs = sorted(r.lang for r in sums.select("lang").distinct().collect())
+
+    def blocks() -> Iterator[np.ndarray]:
+        for s in range(0, len(langs), LANGS_AT_ONCE):
+            some = langs[s:s + LANGS_AT_ONCE]
+            counts = np.zeros((len(some), BUCKETS))
+            found = sums.filter(F.col("lang").isin(some)).select("lang", "bucket", "n").toPandas()
+            counts[found["lang"].map({lang: k for k, lang in enumerate(some)}).to_numpy(int), found["bucket"].to_numpy()] = found["n"]
+            yield counts
+
+    return langs, blocks()
 
 
 def predict(docs: DataFrame, is_training: Column) -> DataFrame:
