@@ -2,8 +2,8 @@
 
 Writing is a Spark text write: a record is one text value and the two line
 breaks that end a WARC record are the writer's line separator, so executors
-write archives to any file system that Spark reaches, ``FILE_RECORDS`` records a
-file.  Payloads that occur more than once are found by SHA-1 and length; the
+write archives to any file system that Spark reaches, at most ``FILE_RECORDS``
+records and ``FILE_BYTES`` bytes a file.  Payloads that occur more than once are found by SHA-1 and length; the
 smallest page id of each keeps the payload, the others become revisit records.
 Only digests are grouped, and only repeated ones are joined back, so a payload
 that a third of the pages share is one row a task before it moves, and the join
@@ -18,8 +18,7 @@ by member; the same search runs over the text of a member, as far as it can be
 decompressed, so a bad record or a broken member of many records costs only what
 it damages.  A gap inside a member has the member's place, and its own in the
 reason.  A file is one row of Spark's binary source, so its size bounds the
-memory of a task; Spark refuses files above
-``spark.sql.sources.binaryFile.maxLength``.
+memory of a task: that of FILE_BYTES, or of one larger record.
 
 Defined cases: null html is an empty payload, which dedups like any other; a
 null page id stays null and never is the smallest one, so it is a revisit only
@@ -37,6 +36,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import unquote_plus
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,8 +46,9 @@ from pyspark.sql import types as T
 from ..session import checkpoint_dir
 from .common import bounded_batches, materialize
 
-#: Records a file; at Common Crawl's mean page size some tens of MB.
+#: Records a file at most, and bytes: larger records are written fewer a file.
 FILE_RECORDS = 500
+FILE_BYTES = 1 << 27
 #: Smallest payload, in bytes, that may become a revisit.
 REVISIT_FROM = 0
 END = "\r\n\r\n"
@@ -80,7 +81,10 @@ def with_revisits(pages: DataFrame, revisit_from: int = REVISIT_FROM) -> DataFra
 
 def record_text(rows: DataFrame) -> Column:
     """A record without the line breaks that end it."""
-    urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">\r\n"))
+    def urn(c: str) -> Column:
+        """The id, escaped, so that ids of any content come back; null has a name of its own."""
+        return F.concat(F.coalesce(F.concat(F.lit("<urn:page:"), F.url_encode(F.col(c).cast("string"))), F.lit("<urn:null")), F.lit(">\r\n"))
+
     url = F.regexp_replace(F.coalesce("url", F.lit("urn:none")), r"[\x00-\x20\x7F]", "%20")
     digest = F.concat(F.lit("WARC-Payload-Digest: sha1:"), base32_of_hex(F.col("sha1")), F.lit("\r\n"))
     size = F.col("payload_bytes")
@@ -97,10 +101,27 @@ def record_text(rows: DataFrame) -> Column:
         F.when(revisit, F.lit("")).otherwise(F.concat(F.lit(HTTP), F.col("html"))))
 
 
-def write_archives(pages: DataFrame, path: str, revisit_from: int = REVISIT_FROM, file_records: int = FILE_RECORDS) -> None:
+def write_archives(pages: DataFrame, path: str, revisit_from: int = REVISIT_FROM, file_records: int = FILE_RECORDS,
+                   file_bytes: int = FILE_BYTES) -> None:
+    """Archives of at most ``file_records`` records and ``file_bytes`` bytes (a larger
+    record has a file of its own).  Records are written by classes of size, each
+    twice the one before: usually all are in the first."""
     rows = with_revisits(pages, revisit_from)
-    (rows.select(record_text(rows).alias("value")).write.option("lineSep", END)
-     .option("maxRecordsPerFile", file_records).text(path))
+    rows = rows.select(record_text(rows).alias("value"))
+    first = max(1, file_bytes // file_records)
+    size = F.octet_length("value") + len(END)
+    size_class = F.greatest(F.lit(0), F.ceil(F.log2(size / F.lit(first)))).cast("int")
+    # no record is larger than its page, an escaped url and a header
+    page = F.octet_length(F.coalesce("html", F.lit(""))) + 3 * F.octet_length(F.coalesce("url", F.lit(""))) + 8 * F.octet_length(
+        F.coalesce(F.col("page_id").cast("string"), F.lit(""))) + 1000
+    largest = pages.agg(F.max(page.cast("long"))).first()[0] or 0
+    classes = 0
+    while first << classes < largest:
+        classes += 1
+    for k in range(classes + 1):
+        some = rows if not classes else rows.filter(size_class == k)
+        (some.select("value").write.mode("append").option("lineSep", END)
+         .option("maxRecordsPerFile", max(1, file_bytes // (first << k))).text(path))
 
 
 _START = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
@@ -243,7 +264,8 @@ PARSED = T.StructType([
 
 
 def _id(urn: str | None) -> str | None:
-    return (urn or "").removeprefix("<urn:page:").removesuffix(">") or None
+    name = (urn or "").removesuffix(">")
+    return unquote_plus(name.removeprefix("<urn:page:")) if name.startswith("<urn:page:") else None
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:

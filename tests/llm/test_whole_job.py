@@ -1,12 +1,15 @@
 """Inputs past the bounds that operators once had."""
 
 import gzip
+import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.llm import components, decontaminate, mixing, warc
+from starloom.llm import components, decontaminate, langid, mixing, warc
+from tests.llm.helpers import documents
 
 
 def test_components_of_far_apart_ids(spark):
@@ -25,12 +28,63 @@ def test_a_page_with_a_long_url_comes_back(spark):
     assert {(r.page_id, r.record_type) for r in found.collect()} == {(1, "response"), (2, "revisit"), (3, "response")}
 
 
-def test_a_gap_in_a_written_archive_is_an_error(spark):
-    pages = spark.createDataFrame([("a\r\n\r\nb", "http://a/", "one"), ("c", "http://c/", "two")], "page_id string, url string, html string")
+def test_a_gap_in_a_written_archive_is_an_error(spark, monkeypatch):
+    pages = spark.createDataFrame([("a", "http://a/", "one"), ("c", "http://c/", "two")], "page_id string, url string, html string")
+    real = warc.record_text
+    monkeypatch.setattr(warc, "record_text", lambda rows: F.regexp_replace(real(rows), "<urn:page:a>", "\r\n"))
     with pytest.raises(Exception, match="gap in an archive just written"):
         warc.round_trip(pages).collect()
 
 
+def test_ids_of_any_content_come_back(spark):
+    ids = ["a\r\n\r\nb", "", " ", "<urn:page:x>", "a%20b+c", "é 中\t", None, "null", ">"]
+    pages = spark.createDataFrame([(i, "http://a/", f"body {k}") for k, i in enumerate(ids)], "page_id string, url string, html string")
+    assert {r.page_id for r in warc.round_trip(pages).collect()} == set(ids)
+    twins = spark.createDataFrame([("", "u", "same"), ("x", "u", "same"), (None, "u", "same")], "page_id string, url string, html string")
+    assert {(r.page_id, r.record_type, r.refers_to) for r in warc.round_trip(twins).collect()} == {
+        ("", "response", None), ("x", "revisit", ""), (None, "revisit", "")}
+
+
+def test_archives_roll_by_bytes(spark, tmp_path):
+    sizes = [10] * 60 + [3000] * 7 + [40_000] * 3 + [200_000]
+    pages = spark.createDataFrame([(i, "u", chr(97 + i % 26) * n + str(i)) for i, n in enumerate(sizes)], "page_id long, url string, html string")
+    path = str(tmp_path / "w")
+    warc.write_archives(pages.coalesce(1), path, file_records=20, file_bytes=50_000)
+    files = [f for f in os.listdir(path) if f.endswith(".txt")]
+    heavy = [os.path.getsize(os.path.join(path, f)) for f in files]
+    assert sum(n > 50_000 for n in heavy) == 1 and len(files) >= 4
+    found = warc.read_archives(spark, path)
+    assert found.filter("kind = 'record'").count() == len(sizes) and found.filter("kind = 'gap'").count() == 0
+    per_file = found.groupBy("file").count().collect()
+    assert max(r["count"] for r in per_file) <= 20
+    empty = str(tmp_path / "none")
+    warc.write_archives(pages.limit(0), empty)
+    assert warc.read_archives(spark, empty).count() == 0
+
+
+def test_hundreds_of_languages_are_learned(spark):
+    rnd = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for k in range(200):
+        words = ["".join(rnd.choice(letters) for _ in range(6)) for _ in range(12)]
+        rows += [(len(rows) + j, " ".join(rnd.choices(words, k=40)), f"l{k:03d}", "s") for j in range(4)]
+    found = langid.language_id(documents(spark, rows)).collect()
+    assert len(found) == len(rows)
+    right = {r[0]: r[2] for r in rows}
+    learned = {right[r.doc_id] for r in found if not r.held_out}
+    held = [r for r in found if r.held_out and right[r.doc_id] in learned]
+    assert sum(r.lang_pred == right[r.doc_id] for r in held) >= 0.95 * len(held) > 50
+
+
+def test_codewords_of_many_languages():
+    for n in (8, 130, 1500):
+        code = langid.codewords(n)
+        assert code.shape == (n, -(-10 * np.log2(n) // 1)) and not (np.abs(code.sum(0, dtype=int)) == n).any()
+        brute = min(int((code[i] != code[j]).sum()) for i in range(0, n, max(1, n // 40)) for j in range(n) if i != j)
+        assert 0 < langid._least_distance(code) <= brute
+
+
 def record(i, body):
     head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{i}>\r\nWARC-Payload-Digest: sha1:"
     return head.encode() + warc.sha1_base32(body).encode() + f"\r\nContent-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
