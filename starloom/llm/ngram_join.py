@@ -14,7 +14,7 @@ links.
    dropped once P(similarity >= threshold) < ``TOLERANCE``.  A larger bucket
    doesn't emit pairs; its nodes are tied to its smallest node.
 4. What is left, pairs and ties, falls into components.  A component's nodes
-   meet in blocks of about ``BLOCK``: within a block pair, all pairs go through
+   meet in blocks of about ``BLOCK`` nodes and ``BLOCK_GRAMS`` n-grams: within a block pair, all pairs go through
    the same incremental pruning, and the rest are verified exactly on their
    n-gram sets.  A block pair returns a row a node (rows linked to it, smallest
    node reached), never pairs.  Every pair that step 3 left lies in one
@@ -24,7 +24,8 @@ links.
 Scale: buckets of one node, nearly all of them, vanish in a group-by of counts;
 pairs per bucket row are at most SMALL / 2; a group of n near copies costs n *
 n / 2 comparisons of MinHash values in blocks, n * n / BLOCK rows moved, and no
-task holds more than two blocks.  Texts move once, to the blocks.
+task holds more than two blocks, bounded in nodes and in bytes.  Texts move once,
+to the blocks; of equal texts only one does.
 
 Defined cases: null counts as empty; a text without words has no n-grams and is
 linked to nothing, not even its copies; a text of fewer than five words, but not
@@ -55,7 +56,9 @@ BANDS, ROWS = 48, 4
 TOLERANCE = 1e-9
 STEP = 16
 SMALL = 64
+#: Nodes and n-grams of a block (a node with more is a block by itself and what chance adds).
 BLOCK = 512
+BLOCK_GRAMS = 1 << 21
 SEED = 7
 
 
@@ -262,9 +265,10 @@ def _verify(threshold: float, tolerance: float):
 def _blocks(docs: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
     """The components' nodes with their n-grams, dealt to block pairs."""
     both = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
-    sizes = materialize(both.groupBy("root").agg(F.count("*").alias("size")), "join-sizes")
-    total = sizes.agg(F.sum("size")).first()[0] or 0
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    both = materialize(both.join(nodes.select("node", "n"), "node"), "join-grouped")
+    sizes = materialize(both.groupBy("root").agg(F.count("*").alias("size"), F.sum("n").cast("long").alias("grams")), "join-sizes")
+    total = sizes.agg(F.sum(F.greatest(F.col("size") / BLOCK, F.col("grams") / BLOCK_GRAMS))).first()[0] or 0
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("grams") / BLOCK_GRAMS)).cast("int")
     placed = both.join(sizes, "root").select("node", F.col("root").alias("comp"), blocks.alias("blocks"),
                                              F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"))
     placed = materialize(placed.join(nodes.select("node", "key", "rep", "copies"), "node"), "join-placed")
@@ -279,12 +283,14 @@ def _blocks(docs: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
     kind = T.StructType([T.StructField("grams", T.BinaryType()), T.StructField("sig", T.BinaryType())])
     texts = docs.select(F.col("doc_id"), _key(F.col("text")).alias("key"), "text")
     # both sides grow with the input: one plan at every size, and the texts move once
-    found = texts.join(placed.hint("merge"), "key").filter(F.col("doc_id").eqNullSafe(F.col("rep"))).withColumn(
+    # by id as well: of a text's copies only the one that stands for them meets anything
+    mine = placed.withColumnRenamed("key", "node_key").hint("merge")
+    found = texts.join(mine, (F.col("key") == F.col("node_key")) & F.col("doc_id").eqNullSafe(F.col("rep"))).withColumn(
         "made", F.arrow_udf(make, kind)(F.col("text")))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = found.select("node", "copies", "comp", "blocks", "block", "made.grams", "made.sig", other.alias("other"))
     dealt = dealt.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    bins = max(1, total // BLOCK)
+    bins = max(1, int(total))
     return dealt.withColumn("task", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("comp"), F.lit(bins)))
                             .otherwise(F.xxhash64("comp", "i", "j")))
 

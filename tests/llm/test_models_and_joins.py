@@ -172,6 +172,23 @@ def test_join_matches_sql(spark, tmp_path, monkeypatch):
     assert kept.filter("length(text) > 3").count() == classes
 
 
+def test_join_with_blocks_of_few_ngrams(spark, tmp_path, monkeypatch):
+    """Near copies of long and short texts: blocks are bounded by n-grams too, and the rows are the same."""
+    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", 150)
+    monkeypatch.setattr(ngram_join, "SMALL", 4)
+    rnd = np.random.default_rng(4)
+    rows = []
+    for size in (12, 60, 400):
+        base = [f"w{x}" for x in rnd.integers(0, 5000, size)]
+        for k in range(9):
+            near = list(base)
+            near[k % size] = f"x{k // 2}"
+            rows.append((len(rows), " ".join(near), "en", "a"))
+    rows += [(r[0] + 100, r[1], "en", "a") for r in rows[:6]] + [rows[0], (None, rows[1][1], "en", "a")]
+    docs = parquet(spark, documents(spark, rows), tmp_path)
+    same_as_sql(ngram_join.jaccard_join(docs), ngram_join.SQL, tmp_path, "documents")
+
+
 def test_join_of_nothing(spark):
     assert ngram_join.jaccard_join(documents(spark, [])).count() == 0
     alone = documents(spark, [(1, "a b", None, None), (2, None, None, None), (3, "", None, None)])
