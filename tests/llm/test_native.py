@@ -96,3 +96,22 @@ def test_native_plans_have_no_python(spark):
     for df in (mixing.mix(docs), exact_dedup.exact_groups(docs), exact_dedup.drop_copies(docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_odds_differ_by_document_and_meet_the_targets(spark):
+    rows = [(i, "w " * (1 + i % 300), "en", "abc"[i % 3]) for i in range(3000)]
+    sizes = mixing.sized(documents(spark, rows))
+    classes = mixing.copies_by_size(sizes, mixing.targets(sizes)).collect()
+    for source in "abc":
+        mine = sorted((r for r in classes if r.source == source), key=lambda r: r.digits)
+        copies = [r.whole + r.p for r in mine]
+        assert copies == sorted(copies) and max(copies) <= 2
+        words = {r.digits: sum(1 + i % 300 for i in range(3000) if "abc"[i % 3] == source and (1 + i % 300).bit_length() == r.digits) for r in mine}
+        assert abs(sum(c * words[r.digits] for c, r in zip(copies, mine)) - mine[0].target) < 1e-6 * mine[0].target
+        assert mine[0].target == 2 * mine[0].source_size or len({r.p for r in mine}) > 1, "a source that isn't capped has unequal odds"
+    found = mixing.mix(documents(spark, rows)).collect()
+    for source in "abc":
+        mine = [r for r in found if r.source == source]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= max(r.size for r in mine)
+        short, long_ = ([r.copies for r in mine if lo <= r.size < hi] for lo, hi in ((2, 16), (128, 301)))
+        assert sum(long_) / len(long_) >= sum(short) / len(short)
