@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .clean import fit_violation
 
@@ -25,6 +27,25 @@ def broken_rules(columns: Declared) -> list[tuple[str, str, Column]]:
                     for name, declared, _ in columns]
 
 
+def _breach(df: DataFrame, rule: str, name: str, declared: str, breach: Column) -> Column | None:
+    """The cheapest form of a breach for the type that the column has; None if no
+    value of that type can break the rule, so nothing is counted."""
+    field_ = df.schema[name]
+    kind = field_.dataType
+    if rule == "not_null":
+        return breach if field_.nullable else None
+    if declared == kind.simpleString():
+        return None
+    if declared.startswith("varchar(") and isinstance(kind, T.StringType):
+        most = int(declared[len("varchar("):-1])
+        return (F.octet_length(name) > most) & breach  # bytes are counted already, characters aren't
+    if declared.startswith("numeric(") and isinstance(kind, T.DecimalType):
+        p, s = (int(x) for x in declared[len("numeric("):-1].split(","))
+        if kind.scale <= s:  # nothing is rounded: only whole digits can be too many
+            return None if kind.precision - kind.scale <= p - s else F.abs(F.col(name)) >= F.lit(Decimal(10) ** (p - s))
+    return breach
+
+
 @dataclass
 class Watched:
     """Counts of one write.  ``watch`` goes to the write; ``rows`` and
@@ -39,7 +60,9 @@ class Watched:
         self._observation = Observation()
 
     def watch(self, df: DataFrame) -> DataFrame:
-        counts = [F.count_if(breach).alias(f"v{i}") for i, (_, _, breach) in enumerate(self._rules)]
+        declared = {name: kind for name, kind, _ in self.columns}
+        counts = [F.count_if(found).alias(f"v{i}") for i, (rule, name, breach) in enumerate(self._rules)
+                  if (found := _breach(df, rule, name, declared[name], breach)) is not None]
         seen = df.observe(self._observation, F.count(F.lit(1)).alias("rows"), *counts,
                           *(of.alias(name) for name, of in self.extra.items()))
         return seen.select(*self.keep) if self.keep is not None else seen
