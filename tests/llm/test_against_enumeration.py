@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.llm import langid, pii, quality
+from starloom.llm import common, langid, licenses, pii, quality
 from tests.llm.helpers import documents
 
 # language id
@@ -134,3 +134,55 @@ def test_distant_repeats_agree_in_the_field_as_in_its_best_labelling():
     best = max(itertools.product(range(k), repeat=len(units)), key=lambda x: sum(node[i][a] for i, a in enumerate(x)) + sum(
         field.chain[a, b] for a, b in zip(x, x[1:])) + sum(field.skip[x[i], x[j]] for i, j in pairs))
     assert field.beliefs(units).argmax(1).tolist() == list(best)
+
+
+# licences
+
+def plain_scan(index, text):
+    """Base places and phrases by sliding over the text, labels by trying every alignment of every template."""
+    starts, base = [], set()
+    for phrase, label in licenses.BASE.items():
+        w = [x.encode() for x in phrase.split()]
+        found = [i for i in range(len(text) - len(w) + 1) if text[i:i + len(w)] == w]
+        starts += found
+        base |= {label} if found else set()
+    labels = set(base)
+    for t, (label, _, _) in enumerate(licenses.TEMPLATES):
+        words_, anchors = index.texts[t], index.anchors[t]
+        total = sum(anchors.values())
+        for first in range(-len(words_), len(text)):
+            for last in range(first, first + licenses.SLACK + 1):
+                met = {q for q in anchors for d in range(first, last + 1) if 0 <= d + q < len(text) and text[d + q] == words_[q]}
+                if sum(anchors[q] for q in met) >= licenses.SHARE * total - 1e-9:
+                    stretch = text[max(0, first):last + len(words_) + licenses.SLACK]
+                    if all(any(tuple(stretch[i:i + len(k)]) == k for i in range(len(stretch))) for k in index.keys[t]):
+                        labels.add(label)
+    return starts, base, labels
+
+
+def test_licence_scan_against_all_alignments():
+    common_words = [b"the", b"of", b"to", b"a", b"and", b"this", b"in", b"is", b"license", b"under"]
+    index = licenses.Index(1000, dict.fromkeys(common_words, 500))
+    rnd = random.Random(8)
+    vocabulary = sorted(licenses.vocabulary()) + [b"lorem", b"ipsum"]
+    planted = 0
+    for case in range(60):
+        label, notice, _ = licenses.TEMPLATES[case % len(licenses.TEMPLATES)]
+        words_ = common.words(notice)
+        if case % 3 == 1:  # a word more or less than SLACK allows
+            words_ = words_[:len(words_) // 2] + [b"lorem"] * rnd.randint(1, 6) + words_[len(words_) // 2:]
+        if case % 3 == 2:
+            words_ = [w for w in words_ if rnd.random() > 0.25]
+        text = [rnd.choice(vocabulary) for _ in range(rnd.randint(0, 12))] + words_ + [rnd.choice(vocabulary) for _ in range(rnd.randint(0, 12))]
+        if case % 5 == 0:
+            text += common.words(rnd.choice(list(licenses.BASE)))
+        got = index.scan(text)
+        starts, base, labels = plain_scan(index, text)
+        assert (got["n_base"], got["first_word"], got["last_word"]) == (len(starts), min(starts, default=None), max(starts, default=None))
+        assert got["base_labels"] == ",".join(sorted(base)) and got["n_words"] == len(text)
+        found = set(got["labels"].split(",")) - {""}
+        assert found <= labels, "no label without an alignment that holds its mandatory phrases"
+        if case % 3 == 0:
+            planted += 1
+            assert label in found and label in labels
+    assert planted == 20
