@@ -13,7 +13,12 @@ links.
    has a Beta(k + 1, m - k + 1) posterior under a flat prior; the pair is
    dropped once P(similarity >= threshold) < ``TOLERANCE``.  A larger bucket
    doesn't emit pairs; its nodes are tied to its smallest node.
-4. What is left, pairs and ties, falls into components.  A component's nodes
+   Components of these edges with more than ``BLOCK`` nodes, which ties of merely
+   alike pages can bring, are pruned in the same way before any text moves: their
+   MinHash values alone meet in blocks of ``SIGNATURES`` nodes, a block pair returns
+   the edges of a forest over the pairs that survive, and the components of these
+   edges take the large ones' place.
+4. What is left falls into components.  A component's nodes
    meet in blocks of about ``BLOCK`` nodes and ``BLOCK_GRAMS`` n-grams: within a block pair, all pairs go through
    the same incremental pruning, and the rest are verified exactly on their
    n-gram sets.  A block pair returns a row a node (rows linked to it, smallest
@@ -59,6 +64,8 @@ SMALL = 64
 #: Nodes and n-grams of a block (a node with more is a block by itself and what chance adds).
 BLOCK = 512
 BLOCK_GRAMS = 1 << 21
+#: Nodes of a block of MinHash values (two bytes each).
+SIGNATURES = 4096
 SEED = 7
 
 
@@ -236,6 +243,53 @@ def link_block(grams_a: list[np.ndarray], grams_b: list[np.ndarray], sig_a: np.n
             yield i, hit
 
 
+def _pruned(nodes: DataFrame, roots: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+    """Components of more than ``BLOCK`` nodes fall apart into those of the pairs that
+    the pruning leaves; smaller ones stay."""
+    least = least_matches(threshold, tolerance)
+    both = materialize(_with_roots(roots), "join-tied")
+    sizes = materialize(both.groupBy("root").agg(F.count("*").alias("size")).filter(F.col("size") > BLOCK), "join-large")
+    blocks = F.ceil(F.col("size") / SIGNATURES).cast("int")
+    placed = both.join(sizes, "root").select("node", F.col("root").alias("comp"), blocks.alias("blocks"),
+                                             F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"))
+    dealt = _dealt(placed.join(nodes.select("node", "n", "sig"), "node"), "n", "sig")
+
+    def forest(group: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for (_, i, j), part in group.groupby(["comp", "i", "j"], sort=False):
+            part = part.sort_values("node", ignore_index=True)
+            sig = np.vstack([np.asarray(x, np.int64).view(np.uint16) for x in part["sig"]])
+            node, block, n = part["node"].to_numpy(), part["block"].to_numpy(), part["n"].to_numpy()
+            rows_a, rows_b = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            root = np.arange(len(part))
+            for k, x in enumerate(rows_a):
+                y = rows_b[k + 1:] if i == j else rows_b
+                # rows that are tied already need no comparison, so a group of near copies costs few
+                y = y[(root[y] != root[x]) & (np.minimum(n[y], n[x]) >= threshold * np.maximum(n[y], n[x]))]
+                met = np.unique(root[y[survivors(sig, sig, np.full(len(y), x), y, least)]])
+                if len(met):
+                    tied = np.isin(root, met) | (root == root[x])
+                    root[tied] = min(met[0], root[x])
+            out.append(pd.DataFrame({"u": node, "v": node[root]})[root != np.arange(len(part))])
+        return pd.concat(out)
+
+    edges = dealt.withColumn("task", F.xxhash64("comp", "i", "j")).groupBy("task").applyInPandas(forest, "u long, v long")
+    left = components(materialize(edges, "join-pruned"))
+    return roots.join(sizes, "root", "left_anti").select("node", "root").unionByName(left.select("node", "root"))
+
+
+def _with_roots(roots: DataFrame) -> DataFrame:
+    """Components with a row for their root as well."""
+    return roots.select("node", "root").unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+
+
+def _dealt(placed: DataFrame, *columns: str) -> DataFrame:
+    """Nodes of a block, dealt to all pairs i <= j with the blocks of their component."""
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = placed.select("node", "comp", "blocks", "block", *columns, other.alias("other"))
+    return dealt.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+
+
 def _verify(threshold: float, tolerance: float):
     least = least_matches(threshold, tolerance)
 
@@ -264,8 +318,7 @@ def _verify(threshold: float, tolerance: float):
 
 def _blocks(docs: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
     """The components' nodes with their n-grams, dealt to block pairs."""
-    both = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
-    both = materialize(both.join(nodes.select("node", "n"), "node"), "join-grouped")
+    both = materialize(_with_roots(roots).join(nodes.select("node", "n"), "node"), "join-grouped")
     sizes = materialize(both.groupBy("root").agg(F.count("*").alias("size"), F.sum("n").cast("long").alias("grams")), "join-sizes")
     total = sizes.agg(F.sum(F.greatest(F.col("size") / BLOCK, F.col("grams") / BLOCK_GRAMS))).first()[0] or 0
     blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("grams") / BLOCK_GRAMS)).cast("int")
@@ -287,9 +340,7 @@ def _blocks(docs: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
     mine = placed.withColumnRenamed("key", "node_key").hint("merge")
     found = texts.join(mine, (F.col("key") == F.col("node_key")) & F.col("doc_id").eqNullSafe(F.col("rep"))).withColumn(
         "made", F.arrow_udf(make, kind)(F.col("text")))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = found.select("node", "copies", "comp", "blocks", "block", "made.grams", "made.sig", other.alias("other"))
-    dealt = dealt.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    dealt = _dealt(found.select("*", "made.grams", "made.sig"), "copies", "grams", "sig")
     bins = max(1, int(total))
     return dealt.withColumn("task", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("comp"), F.lit(bins)))
                             .otherwise(F.xxhash64("comp", "i", "j")))
@@ -305,7 +356,7 @@ def join_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
     nodes = materialize(rows.groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sig").alias("sig"))
         .withColumn("node", F.monotonically_increasing_id()), "join-nodes")
-    roots = components(_candidates(nodes, threshold, tolerance))
+    roots = _pruned(nodes, components(_candidates(nodes, threshold, tolerance)), threshold, tolerance)
     verified = _blocks(docs, nodes, roots).groupBy("task").applyInPandas(
         _verify(threshold, tolerance), "node long, links long, root long")
     verified = materialize(verified, "join-verified")

@@ -189,6 +189,36 @@ def test_join_with_blocks_of_few_ngrams(spark, tmp_path, monkeypatch):
     same_as_sql(ngram_join.jaccard_join(docs), ngram_join.SQL, tmp_path, "documents")
 
 
+def alike_pages(rng, n, share, words=60):
+    """Pages of one template that agree on a share of their words, each with near copies of its own."""
+    template = [f"t{k}" for k in range(int(words * share))]
+    rows = []
+    for i in range(n):
+        page = template + [f"w{rng.randrange(10 ** 6)}" for _ in range(words - len(template))]
+        rows.append(" ".join(page))
+        if i % 5 == 0:
+            rows.append(" ".join(page[:-1]))
+    return rows
+
+
+def test_alike_pages_fall_apart_before_texts_move(spark, tmp_path, monkeypatch):
+    """A large bucket ties pages of one template; the comparison of MinHash values parts them, and links are those of SQL."""
+    monkeypatch.setattr(ngram_join, "SMALL", 3)
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    monkeypatch.setattr(ngram_join, "SIGNATURES", 30)
+    rng = random.Random(3)
+    texts = alike_pages(rng, 60, 0.6) + alike_pages(rng, 10, 0.97)
+    docs = parquet(spark, documents(spark, [(i, t, None, None) for i, t in enumerate(texts)]), tmp_path)
+    rows = ngram_join._signed(docs.select("doc_id", "text"))
+    nodes = rows.withColumnRenamed("doc_id", "node")
+    tied = ngram_join.components(ngram_join._candidates(nodes, 0.8, 1e-9))
+    left = ngram_join._pruned(nodes, tied, 0.8, 1e-9)
+    assert tied.groupBy("root").count().agg({"count": "max"}).first()[0] >= 50
+    sizes = sorted(r["count"] for r in left.groupBy("root").count().collect())
+    assert sizes[-1] < 20 and sizes.count(1) >= 10
+    same_as_sql(ngram_join.jaccard_join(docs), ngram_join.SQL, tmp_path, "documents")
+
+
 def test_join_of_nothing(spark):
     assert ngram_join.jaccard_join(documents(spark, [])).count() == 0
     alone = documents(spark, [(1, "a b", None, None), (2, None, None, None), (3, "", None, None)])
