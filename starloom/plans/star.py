@@ -259,10 +259,11 @@ class StarV1(_Model):
 
     @cached_property
     def sales_fact(self) -> DataFrame:
+        # the dimensions of few rows first: their ids replace the texts before the lines are shuffled on the product
         fact = (self.staging
-                .join(self.product_dim, PRODUCT_KEY)
                 .join(self.deliver_dim, DELIVER_KEY)
-                .join(self.ship_dim, ["ship_mode"]))
+                .join(self.ship_dim, ["ship_mode"])
+                .join(self.product_dim, PRODUCT_KEY))
         return self._lines("sales_fact", fact.select(*FACT_COLUMNS), "order_dim")
 
     def tables(self) -> dict[str, DataFrame]:
