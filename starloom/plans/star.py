@@ -277,16 +277,18 @@ class StarV1(_Model):
         (flat column names plus manager / returned)."""
         df = self.sales_fact
         need = set(columns)
+        # orders while the lines are still in their buckets, the dimensions of few rows
+        # last: no text of theirs is moved when the lines are shuffled for the others
+        if need & {"order_date", "ship_date", "returned"}:
+            df = self._with_orders(df, "order_dim", self.order_dim)
         if need & {"customer_name", "segment"}:
             df = df.join(self.customer_dim, "customer_id")
+        if need & set(PRODUCT_KEY):
+            df = df.join(self.product_dim, "product_id")
         if need & {"country", "state", "city", "postal_code", "region", "manager"}:
             df = df.join(self.deliver_dim, "deliver_id")
         if "manager" in need:
             df = df.join(self.manager_dim, "region")
-        if need & {"order_date", "ship_date", "returned"}:
-            df = self._with_orders(df, "order_dim", self.order_dim)
-        if need & set(PRODUCT_KEY):
-            df = df.join(self.product_dim, "product_id")
         if "ship_mode" in need:
             df = df.join(self.ship_dim, "ship_id")
         return df.select(*columns)

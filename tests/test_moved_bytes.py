@@ -43,3 +43,17 @@ def test_the_fact_meets_its_products_with_ids_of_the_other_dimensions(spark, mon
     catalog.star_v1(spark, SF_SMALL).sales_fact
     outermost, *inner = _joins(frames["sales_fact"])
     assert "product_name" in outermost and not any("product_name" in line for line in inner)
+
+
+def test_lines_meet_their_orders_before_they_are_shuffled_for_customers(spark, unbroadcast):
+    f = random_orders(spark)
+    v1 = star.StarV1(f, people(spark), returns(spark, []), "Vermont")
+    for columns in (["order_date", "segment", "sales"], ["order_date", "product_name", "segment", "returned", "sales"]):
+        assert "Exchange hashpartitioning(order_id" not in _executed(v1.view(columns))
+
+
+def test_a_flattened_model_takes_up_the_dimensions_of_few_rows_last(spark):
+    v1 = star.StarV1(random_orders(spark), people(spark), returns(spark, []), "Vermont")
+    on = [next(key for key in ("ship_id", "region", "deliver_id", "product_id", "customer_id", "order_id") if f"({key}#" in line)
+          for line in _joins(v1.flatten())]
+    assert set(on[:3]) == {"ship_id", "region", "deliver_id"}
