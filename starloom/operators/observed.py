@@ -18,6 +18,7 @@ from .clean import fit_violation
 
 RULES_SCHEMA = "rule string, table_name string, column_name string, checked_rows long, violations long"
 Declared = Sequence[tuple[str, str, bool]]
+_WHOLE = r"^[\x00-\x20\x7F]*[+-]?[0-9]+[\x00-\x20\x7F]*$"  # holds for every text that can be cast to int
 
 
 def broken_rules(columns: Declared) -> list[tuple[str, str, Column]]:
@@ -39,6 +40,8 @@ def _breach(df: DataFrame, rule: str, name: str, declared: str, breach: Column)
     if declared.startswith("varchar(") and isinstance(kind, T.StringType):
         most = int(declared[len("varchar("):-1])
         return (F.octet_length(name) > most) & breach  # bytes are counted already, characters aren't
+    if declared == "int" and isinstance(kind, T.StringType):
+        return ~F.col(name).rlike(_WHOLE) | breach  # a failing cast throws inside: slower than all other rules together
     if declared.startswith("numeric(") and isinstance(kind, T.DecimalType):
         p, s = (int(x) for x in declared[len("numeric("):-1].split(","))
         if kind.scale <= s:  # nothing is rounded: only whole digits can be too many

@@ -57,3 +57,13 @@ def test_a_flattened_model_takes_up_the_dimensions_of_few_rows_last(spark):
     on = [next(key for key in ("ship_id", "region", "deliver_id", "product_id", "customer_id", "order_id") if f"({key}#" in line)
           for line in _joins(v1.flatten())]
     assert set(on[:3]) == {"ship_id", "region", "deliver_id"}
+
+
+def test_texts_that_are_no_int_are_told_without_a_failing_cast(spark):
+    texts = ["1", " 1 ", "\t-7\n", "+3", "1.0", "1-2", "", " ", "abc", "2147483647", "2147483648", "-2147483648", "0001", "1 2", "--1",
+             "\x007\x7f", "7\x85", "٣", "1e3", " 7", "7\r\n", "+", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    cheap = _breach(df, "type_fit:int", "t", "int", F.coalesce(fit_violation("t", "int"), F.lit(False)))
+    rows = df.select("t", F.coalesce(cheap, F.lit(False)).alias("cheap"), F.coalesce(fit_violation("t", "int"), F.lit(False)).alias("cast"))
+    assert all(r.cheap == r.cast for r in rows.collect()), [r for r in rows.collect() if r.cheap != r.cast]
+    assert "rlike" in _executed(df.select(cheap.alias("c"))).lower()
