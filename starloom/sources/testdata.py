@@ -66,12 +66,12 @@ class TestData:
 
         lines = self.table("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-            "l_extendedprice", "l_discount", "l_shipdate")
+            "l_extendedprice", "l_discount", F.col("l_shipdate").cast("date").alias("l_shipdate"))
         part = self.table("part").select("p_partkey", "p_name", "p_type", "p_brand")
         lp = lines.join(part, lines.l_partkey == part.p_partkey)
 
         ship = (lp.groupBy(F.col("l_orderkey").alias("s_orderkey"))
-                .agg(F.max(F.col("l_shipdate").cast("date")).alias("ship_date")))
+                .agg(F.max("l_shipdate").alias("ship_date")))
         # left join: an order without surviving lines yields no flat row anyway,
         # and a left join to a key-unique aggregate is dropped by the optimizer
         # when ship_date is not read (no second lineitem scan for most reports)

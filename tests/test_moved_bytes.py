@@ -67,3 +67,9 @@ def test_texts_that_are_no_int_are_told_without_a_failing_cast(spark):
     rows = df.select("t", F.coalesce(cheap, F.lit(False)).alias("cheap"), F.coalesce(fit_violation("t", "int"), F.lit(False)).alias("cast"))
     assert all(r.cheap == r.cast for r in rows.collect()), [r for r in rows.collect() if r.cheap != r.cast]
     assert "rlike" in _executed(df.select(cheap.alias("c"))).lower()
+
+
+def test_written_tables_are_compressed_well(spark):
+    for layout in ({}, {"bucket_by": ["id"]}):
+        table = materialize(spark.range(1000).selectExpr("CAST(id AS STRING) AS id"), "codec", **layout)
+        assert all(".zstd." in f for f in table.inputFiles())
