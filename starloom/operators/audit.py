@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize_all
@@ -26,6 +26,10 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def _total(counts: Column | str) -> Column:
+    return F.coalesce(F.sum(counts), F.lit(0))
+
+
 def _rule(df: DataFrame, rule: str, table: str, column: str, checked, violations) -> DataFrame:
     return df.agg(F.lit(rule).alias("rule"), F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
                   checked.cast("long").alias("checked_rows"), violations.cast("long").alias("violations"))
@@ -55,9 +59,11 @@ def orphans(tables: Mapping[str, DataFrame],
             fks: Sequence[tuple[str, Sequence[str], str, Sequence[str]]]) -> DataFrame:
     """Child rows whose non-NULL foreign key has no parent.
 
-    The parent keys are made distinct and tagged, then left-joined as a
-    written lookup: one pass gives both the checked rows and the orphans, the
-    join cannot fan out, and a hot foreign key is split by AQE."""
+    The child's rows are counted per foreign key before anything moves, so a hot
+    key is combined in the tasks that read it and a key's columns are shuffled
+    once a task.  The counts are left-joined to the distinct, tagged parent keys
+    (a written lookup): one pass gives the checked rows and the orphans, and the
+    join cannot fan out."""
     lookups = materialize_all({
         f"parent_keys_{i}": tables[parent].select(*[F.col(pc).alias(cc) for pc, cc in zip(pcols, cols)])
         .distinct().withColumn("__hit", F.lit(True))
@@ -67,9 +73,10 @@ def orphans(tables: Mapping[str, DataFrame],
         c = tables[child].select(*cols)
         for col in cols:
             c = c.where(F.col(col).isNotNull())
-        j = lookup_join(c, lookups[f"parent_keys_{i}"], cols, "left", written=True)
-        parts.append(_rule(j, "foreign_key", child, f"{','.join(cols)}->{parent}",
-                           F.count(F.lit(1)), F.count_if(F.col("__hit").isNull())))
+        per_key = c.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+        j = lookup_join(per_key, lookups[f"parent_keys_{i}"], cols, "left", written=True)
+        parts.append(_rule(j, "foreign_key", child, f"{','.join(cols)}->{parent}", _total("__n"),
+                           _total(F.when(F.col("__hit").isNull(), F.col("__n")))))
     return _union(parts)
 
 

@@ -73,3 +73,13 @@ def test_written_tables_are_compressed_well(spark):
     for layout in ({}, {"bucket_by": ["id"]}):
         table = materialize(spark.range(1000).selectExpr("CAST(id AS STRING) AS id"), "codec", **layout)
         assert all(".zstd." in f for f in table.inputFiles())
+
+
+def test_children_are_counted_per_foreign_key_before_they_move(spark, unbroadcast):
+    child = spark.createDataFrame([("a",)] * 50 + [("b",)] * 3 + [(None,)] * 4, "k string")
+    parent = spark.createDataFrame([("a",), ("a",), ("c",), (None,)], "p string")
+    got = audit.orphans({"child": child, "parent": parent}, [("child", ["k"], "parent", ["p"])])
+    assert [(r.checked_rows, r.violations) for r in got.collect()] == [(53, 3)]
+    assert "HashAggregate(keys=[k#" in _executed(got)
+    none = audit.orphans({"child": child.where("false"), "parent": parent}, [("child", ["k"], "parent", ["p"])])
+    assert [(r.checked_rows, r.violations) for r in none.collect()] == [(0, 0)]
