@@ -125,23 +125,22 @@ def join_loss(lines: DataFrame, rules: Mapping[str, tuple[DataFrame, Mapping[str
     """Per lookup join (name -> (lookup, its key columns -> columns of the
     lines)), the lines that find no match (lost) and the lines that find more
     than one (multiplied).  Each lookup is reduced to one count per key and
-    written, so the joins never fan out and a hot key is split by AQE; the lines
-    are read once, with all counts joined to them, and aggregated once.  NULL
-    keys never match, as in the model joins."""
+    written; the lines are counted per key too, in a scan of its columns only.  So the
+    joins never fan out, a hot key is combined in the tasks that read it, and no
+    line is shuffled with columns of another rule.  NULL keys never match, as in
+    the model joins."""
     counts = materialize_all({
         name: lookup.groupBy(*[F.col(k).alias(c) for k, c in keys.items()]).agg(F.count(F.lit(1)).alias(f"__m{i}"))
         for i, (name, (lookup, keys)) in enumerate(rules.items())})
-    joined = lines.select(*dict.fromkeys(c for _, keys in rules.values() for c in keys.values()))
-    aggs, stack = [F.count(F.lit(1)).alias("checked_rows")], []
+    n, parts = F.col("__n"), []
     for i, (name, (_, keys)) in enumerate(rules.items()):
-        joined = lookup_join(joined, counts[name], list(keys.values()), "left", written=True)
-        m = F.col(f"__m{i}")
-        aggs += [F.count_if(m.isNull()).alias(f"__l{i}"), F.count_if(m > 1).alias(f"__x{i}"),
-                 F.coalesce(F.sum(m), F.lit(0)).alias(f"__j{i}")]
-        stack.append(f"'{name}', __l{i}, __x{i}, __j{i}")
-    return joined.agg(*aggs).select(
-        F.expr(f"stack({len(rules)}, {', '.join(stack)}) AS (join_name, lost, multiplied, joined_rows)"), "checked_rows"
-    ).select("join_name", "checked_rows", "lost", "multiplied", "joined_rows")
+        on, m = list(keys.values()), F.col(f"__m{i}")
+        per_key = lines.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+        joined = lookup_join(per_key, counts[name], on, "left", written=True)
+        parts.append(joined.agg(
+            F.lit(name).alias("join_name"), _total(n).alias("checked_rows"), _total(F.when(m.isNull(), n)).alias("lost"),
+            _total(F.when(m > 1, n)).alias("multiplied"), _total(m * n).alias("joined_rows")))
+    return _union(parts)
 
 
 def model_redundancy(models: Mapping[str, tuple[str, DataFrame]], ids_per_row: int = 3) -> DataFrame:

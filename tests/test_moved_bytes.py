@@ -83,3 +83,15 @@ def test_children_are_counted_per_foreign_key_before_they_move(spark, unbroadcas
     assert "HashAggregate(keys=[k#" in _executed(got)
     none = audit.orphans({"child": child.where("false"), "parent": parent}, [("child", ["k"], "parent", ["p"])])
     assert [(r.checked_rows, r.violations) for r in none.collect()] == [(0, 0)]
+
+
+def test_join_loss_moves_counts_of_keys_only(spark, unbroadcast):
+    lines = spark.createDataFrame([("a", "x")] * 40 + [("b", "y")] * 2 + [(None, "x")], "k string, v string")
+    once = spark.createDataFrame([("a",), ("c",)], "k string")
+    twice = spark.createDataFrame([("x",), ("x",), (None,)], "w string")
+    got = audit.join_loss(lines, {"once": (once, {"k": "k"}), "twice": (twice, {"w": "v"})})
+    assert {tuple(r) for r in got.collect()} == {("once", 43, 3, 0, 40), ("twice", 43, 2, 41, 82)}
+    plan = _executed(got)
+    assert "HashAggregate(keys=[k#" in plan and "HashAggregate(keys=[v#" in plan
+    empty = audit.join_loss(lines.where("false"), {"once": (once, {"k": "k"})})
+    assert [tuple(r) for r in empty.collect()] == [("once", 0, 0, 0, 0)]
