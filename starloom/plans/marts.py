@@ -29,9 +29,10 @@ def manager_lookup(people: DataFrame) -> DataFrame:
 def wide_orders(flat: DataFrame, people: DataFrame, returns: DataFrame) -> DataFrame:
     """Order lines + manager + return flag, one row per line.  The few
     managers are written first: their size is then known when the join is
-    planned, and the lines aren't shuffled on the region."""
-    w = lookup_join(flat, manager_lookup(people), ["region"], "left", "managers")
-    w = with_return_flag(w, dedup_returns(returns), lines=True)
+    planned, and the lines aren't shuffled on the region.  They come last, so
+    their names aren't moved with the lines that meet their returns."""
+    w = with_return_flag(flat, dedup_returns(returns), lines=True)
+    w = lookup_join(w, manager_lookup(people), ["region"], "left", "managers")
     return w.select(*FLAT_COLUMNS, "manager", "returned")
 
 

@@ -95,3 +95,8 @@ def test_join_loss_moves_counts_of_keys_only(spark, unbroadcast):
     assert "HashAggregate(keys=[k#" in plan and "HashAggregate(keys=[v#" in plan
     empty = audit.join_loss(lines.where("false"), {"once": (once, {"k": "k"})})
     assert [tuple(r) for r in empty.collect()] == [("once", 0, 0, 0, 0)]
+
+
+def test_managers_join_the_wide_lines_last(spark):
+    wide = marts.wide_orders(random_orders(spark), people(spark), returns(spark, []))
+    assert "region" in _joins(wide)[0]
