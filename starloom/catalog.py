@@ -235,7 +235,7 @@ def load_orders_csv(spark: SparkSession, sf_dir: str) -> Loaded:
     line = F.to_csv(F.struct(*FLAT_COLUMNS), {"escape": '"'})
     lines = broken.select(F.when(F.col("kind") == 0, F.substring_index(line, ",", 5)).otherwise(line).alias("value"))
     path = f"{checkpoint_dir(spark)}/starloom/sheet-{uuid.uuid4().hex}.csv"
-    lines.write.text(path)
+    lines.write.text(path, compression="gzip")  # a task reads what a task wrote
     return load_sheet(spark, path, ORDERS_SCHEMA, header=False)
 
 

@@ -100,3 +100,12 @@ def test_join_loss_moves_counts_of_keys_only(spark, unbroadcast):
 def test_managers_join_the_wide_lines_last(spark):
     wide = marts.wide_orders(random_orders(spark), people(spark), returns(spark, []))
     assert "region" in _joins(wide)[0]
+
+
+def test_the_sheet_is_written_compressed(spark):
+    scratch = os.path.join(urlparse(checkpoint_dir(spark)).path, "starloom")
+    before = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    assert catalog.load_orders_csv(spark, SF_SMALL).rejects.count() > 0
+    sheets = [d for d in set(os.listdir(scratch)) - before if d.endswith(".csv")]
+    parts = [f for d in sheets for f in os.listdir(os.path.join(scratch, d)) if f.startswith("part-")]
+    assert parts and all(f.endswith(".gz") for f in parts)
