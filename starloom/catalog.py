@@ -41,7 +41,8 @@ def _report(fn) -> Query:
 def star_v1(spark: SparkSession, sf_dir: str, stage: bool = True) -> StarV1:
     """A model of its own; ``stage=False`` when a single table is derived."""
     td = TestData(spark, sf_dir)
-    return StarV1(td.flat_orders(), td.people(), td.returns(), VERMONT_ANALOG, stage=stage)
+    by_order = stage and td.even_orders()
+    return StarV1(td.flat_orders(by_order), td.people(), td.returns(), VERMONT_ANALOG, stage=stage, by_order=by_order)
 
 
 def models(spark: SparkSession, sf_dir: str) -> tuple[StarV1, StarV2]:
@@ -244,7 +245,9 @@ def refresh_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     back as typed tables and counted, with the declared rules that rows break."""
     td = TestData(spark, sf_dir)
     store = ModelStore(spark, f"{checkpoint_dir(spark)}/starloom/store-{uuid.uuid4().hex}")
-    store.refresh(td.flat_orders(), td.people(), td.returns(), VERMONT_ANALOG, td.fingerprint(*RETAIL_TABLES))
+    by_order = td.even_orders()
+    store.refresh(td.flat_orders(by_order), td.people(), td.returns(), VERMONT_ANALOG, td.fingerprint(*RETAIL_TABLES),
+                  by_order=by_order)
     return store.counts()
 
 

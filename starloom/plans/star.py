@@ -17,6 +17,8 @@ Plan shape:
   * the extract is written in a folder per order year; orders and lines are
     bucketed by order, so they join without an exchange (unless one order has
     more lines than a bucket should hold);
+  * an extract that comes hashed by order (``by_order``) is written in the
+    same buckets, so orders and lines are made of it where they lie;
   * each write counts its table's declared rules (J3, J4) on the way;
   * natural keys are resolved with plain equi joins; Spark broadcasts a
     dimension only when its file size is under the threshold, otherwise
@@ -28,6 +30,8 @@ needs only the fact and one dimension does not build the rest.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Sequence
 from functools import cached_property
 
@@ -39,7 +43,7 @@ from ..operators.joins import lookup_join
 from ..operators.keys import dense_key, dense_keys
 from ..operators.observed import Watched
 from ..schemas import FLAT_COLUMNS, MODEL_V1, MODEL_V2, ORDER_COLUMNS
-from ..session import concurrently, materialize
+from ..session import checkpoint_dir, concurrently, materialize
 
 # --- fixed values of the reference models -------------------------------------
 PRODUCT_KEY = ["product_name", "category", "subcategory"]
@@ -73,30 +77,34 @@ SPECS = {"orders": ORDER_COLUMNS, **{n: s["columns"] for n, s in {**MODEL_V1, **
 
 class _Model:
     def __init__(self, flat: DataFrame, people: DataFrame, returns: DataFrame, repair_state: str,
-                 stage: bool = True, folder: str | None = None):
+                 stage: bool = True, folder: str | None = None, by_order: bool = False):
         """``stage=False`` when one table is derived: nothing is shared, so
         neither the extract nor the table is written.  ``folder``: where the
-        tables are written (default: the checkpoint folder)."""
+        tables are written (default: the checkpoint folder).  ``by_order``: ``flat``
+        comes hashed by order_id, and no bucket of orders is far above the average."""
         self._flat = flat
         self._people = people
         self._returns = returns
         self._repair_state = repair_state
         self._stage = stage
         self._folder = folder
+        self._by_order_id = by_order
         self._watched: dict[str, Watched] = {}  # declared table -> counts of its write
         self._layout: dict[str, Sequence[str]] = {}  # written table -> columns that its buckets hash
 
     _shared: "_Model | None" = None
+    _bucketed: DataFrame | None = None
 
     def _table(self, name: str, df: DataFrame, extra: dict[str, Column] | None = None, **layout) -> DataFrame:
         """The table, written; its declared rules (and ``extra`` metrics over
         columns of ``df`` beyond the declared ones) are counted by the write."""
         if not self._stage:
             return df.drop(*EXTRA)
+        layout = {"folder": self._folder, **layout}
         if name not in DECLARED:
-            return materialize(df, name, folder=self._folder, **layout)
+            return materialize(df, name, **layout)
         watched = Watched(SPECS[DECLARED[name][0]], extra or {}, [c for c in df.columns if c not in EXTRA])
-        written = materialize(df, name, folder=self._folder, watch=watched.watch, **layout)
+        written = materialize(df, name, watch=watched.watch, **layout)
         self._watched.update(dict.fromkeys(DECLARED[name], watched))
         self._layout[name] = layout.get("bucket_by", ())
         return written
@@ -114,7 +122,21 @@ class _Model:
             return self._shared.raw_staging
         if not self._stage:
             return self._flat
-        return self._table("stg_orders", self._flat.withColumn(ORDER_YEAR, F.year("order_date")), partition_by=[ORDER_YEAR])
+        by_year = self._flat.withColumn(ORDER_YEAR, F.year("order_date"))
+        if not self._by_order_id:
+            return self._table("stg_orders", by_year, partition_by=[ORDER_YEAR])
+        spark = by_year.sparkSession
+        folder = self._folder or os.path.join(checkpoint_dir(spark), "starloom", f"staged-{uuid.uuid4().hex}")
+        self._bucketed = self._table("stg_orders", by_year, folder=folder, partition_by=[ORDER_YEAR], bucket_by=["order_id"])
+        return spark.read.parquet(os.path.join(folder, "stg_orders"))  # its size and its splits are those of the files
+
+    @cached_property
+    def staging_by_order(self) -> DataFrame:
+        """``staging`` as it lies in its buckets by order, if it does."""
+        if self._shared is not None:
+            return self._shared.staging_by_order
+        raw = self.raw_staging
+        return repair_postal_code(raw if self._bucketed is None else self._bucketed.select(*raw.columns), self._repair_state)
 
     def of_year(self, year: int) -> DataFrame:
         """The written extract's lines of one order year: the scan lists that year's folder only."""
@@ -253,14 +275,14 @@ class StarV1(_Model):
 
     @cached_property
     def order_dim(self) -> DataFrame:
-        orders = self.staging.groupBy("order_id", "order_date", "ship_date").agg(F.count(F.lit(1)).alias("__lines"))
+        orders = self.staging_by_order.groupBy("order_id", "order_date", "ship_date").agg(F.count(F.lit(1)).alias("__lines"))
         flagged = with_return_flag(orders, self.returns_dedup)
         return self._by_order("order_dim", flagged.select("order_id", "order_date", "ship_date", "returned", "__lines"))
 
     @cached_property
     def sales_fact(self) -> DataFrame:
         # the dimensions of few rows first: their ids replace the texts before the lines are shuffled on the product
-        fact = (self.staging
+        fact = (self.staging_by_order
                 .join(self.deliver_dim, DELIVER_KEY)
                 .join(self.ship_dim, ["ship_mode"])
                 .join(self.product_dim, PRODUCT_KEY))
@@ -311,7 +333,7 @@ class StarV2(_Model):
     def alongside(cls, v1: StarV1) -> "StarV2":
         """v2 over v1's staging table, reusing the dimensions both models
         define identically (product, deliver, customer): one build, two models."""
-        v2 = cls(v1._flat, v1._people, v1._returns, v1._repair_state, stage=v1._stage, folder=v1._folder)
+        v2 = cls(v1._flat, v1._people, v1._returns, v1._repair_state, stage=v1._stage, folder=v1._folder, by_order=v1._by_order_id)
         v2._shared = v1
         return v2
 
@@ -338,9 +360,9 @@ class StarV2(_Model):
         deduplicated so identical lookup rows cannot fan out.  Keys of the
         joined dimensions are unique by construction, hence the output is
         already distinct."""
-        header = self.staging.select("order_id", "order_date", "ship_date", "customer_id", "ship_mode",
-                                     *DELIVER_KEY).groupBy("order_id", "order_date", "ship_date", "customer_id", "ship_mode",
-                                                           *DELIVER_KEY).agg(F.count(F.lit(1)).alias("__lines"))
+        header = self.staging_by_order.select("order_id", "order_date", "ship_date", "customer_id", "ship_mode",
+                                              *DELIVER_KEY).groupBy("order_id", "order_date", "ship_date", "customer_id", "ship_mode",
+                                                                    *DELIVER_KEY).agg(F.count(F.lit(1)).alias("__lines"))
         people = self._table("managers", self._managers.distinct())
         header = (with_return_flag(header, self.returns_dedup)
                   .join(people, "region")
@@ -351,7 +373,7 @@ class StarV2(_Model):
     @cached_property
     def order_details_v2(self) -> DataFrame:
         """Lines with measures and the product key."""
-        details = self.staging.join(self.product_dim_v2, PRODUCT_KEY).select(*DETAIL_COLUMNS)
+        details = self.staging_by_order.join(self.product_dim_v2, PRODUCT_KEY).select(*DETAIL_COLUMNS)
         return self._lines("order_details_v2", details, "orders_v2")
 
     def tables(self) -> dict[str, DataFrame]:

@@ -61,18 +61,18 @@ class ModelStore:
         return self.manifest().agg(F.max("generation")).first()[0]
 
     def refresh(self, flat: DataFrame, people: DataFrame, returns: DataFrame, repair_state: str,
-                source: str | None = None, enforce: bool = False) -> int:
+                source: str | None = None, enforce: bool = False, by_order: bool = False) -> int:
         """Write both models and publish them; the generation's number.
 
         ``source``: a fingerprint of the inputs; if it is that of the newest
         generation, that one stays and nothing is written.  ``enforce``: rows
-        that break a declared rule refuse the refresh."""
+        that break a declared rule refuse the refresh.  ``by_order``: see ``StarV1``."""
         last = self.generation()
         if source is not None and last is not None and self._rows(last)[0].source == source:
             return last
         number, run = (last or 0) + 1, uuid.uuid4().hex
         folder = f"{self.path}/data/{number:08d}-{run}"
-        v1 = StarV1(flat, people, returns, repair_state, folder=folder)
+        v1 = StarV1(flat, people, returns, repair_state, folder=folder, by_order=by_order)
         v2 = StarV2.alongside(v1)
         build_all(v1, v2)
         rows = []

@@ -90,7 +90,8 @@ def materialize(df: DataFrame, tag: str, folder: str | None = None, partition_by
     ``partition_by``: one subfolder per value, pruned by a filter on the column.
     ``bucket_by``: hashed into ``spark.sql.shuffle.partitions`` buckets, one sorted
     file each, so joins on these columns need no exchange; the table is then known
-    to the session's catalog, which keeps the layout.
+    to the session's catalog, which keeps the layout.  Rows that come hashed so
+    already aren't moved again.
     ``watch`` is applied last, in the stage that writes: metrics observed there
     count every row once, however often an earlier stage is run again.
     """
@@ -101,7 +102,7 @@ def materialize(df: DataFrame, tag: str, folder: str | None = None, partition_by
         df = df.repartition(buckets, *bucket_by)
         name = f"starloom_{uuid.uuid4().hex}_{tag}"
         writer = (watch(df) if watch else df).write.mode("overwrite").option("path", path).option("compression", CODEC)
-        writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by).saveAsTable(name, format="parquet")
+        writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by).saveAsTable(name, format="parquet", partitionBy=list(partition_by) or None)
         _BUCKETED.setdefault(id(spark), []).append(name)
         return spark.table(name)
     (watch(df) if watch else df).write.mode("overwrite").partitionBy(*partition_by).parquet(path, compression=CODEC)

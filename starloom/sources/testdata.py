@@ -12,12 +12,15 @@ Join plan of ``flat_orders`` (chosen for scale):
   * orders + ship date + customer geography (all one row per order),
   * one join of the line side to the order side on the order key.  With AQE
     skew handling a hot order or hot part is split across tasks.
+Where no order is hot (``even_orders``), the extract can come hashed by its order
+id: the ship date is then a window over the lines that this join sorts anyway, and
+lineitem is read and shuffled for its parts once instead of twice.
 """
 
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -28,6 +31,7 @@ from .listing import listing_fingerprint
 VERMONT_ANALOG = "NATION_7"          # plays the state whose postal code is NULL
 RETURN_FLAG_VALUE = "R"              # lineitem flag that marks a returned line
 NO_ACCURACY_MODULUS = 97             # accuracy score NULL when partkey % 97 == 0
+HEAVY_BUCKET = 5                     # times the average bucket of orders: Spark's skewedPartitionFactor
 # tables behind the two analogs
 RETAIL_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 RENTAL_TABLES = ("part", "orders", "lineitem")
@@ -57,7 +61,9 @@ class TestData:
         return listing_fingerprint(self.spark, [f"{self.sf_dir}/{n}.parquet" for n in names])
 
     # -- retail analog ---------------------------------------------------------
-    def flat_orders(self) -> DataFrame:
+    def flat_orders(self, hashed_by_id: bool = False) -> DataFrame:
+        """The extract.  ``hashed_by_id``: its rows come hashed by order_id, a hot
+        order in one task (see ``even_orders``)."""
         nation = self.table("nation").select("n_nationkey", "n_name", "n_regionkey")
         region = self.table("region").select("r_regionkey", "r_name")
         geo = nation.join(region, nation.n_regionkey == region.r_regionkey)
@@ -70,16 +76,22 @@ class TestData:
         part = self.table("part").select("p_partkey", "p_name", "p_type", "p_brand")
         lp = lines.join(part, lines.l_partkey == part.p_partkey)
 
-        ship = (lp.groupBy(F.col("l_orderkey").alias("s_orderkey"))
-                .agg(F.max("l_shipdate").alias("ship_date")))
-        # left join: an order without surviving lines yields no flat row anyway,
-        # and a left join to a key-unique aggregate is dropped by the optimizer
-        # when ship_date is not read (no second lineitem scan for most reports)
-        orders = (self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-                  .join(ship, F.col("o_orderkey") == F.col("s_orderkey"), "left")
-                  .join(cust, F.col("o_custkey") == F.col("c_custkey")))
-
-        j = lp.join(orders, lp.l_orderkey == orders.o_orderkey)
+        orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+        if hashed_by_id:
+            # the id as text is what the rows are hashed on, for the window and the join alike
+            lp = (lp.withColumn("l_orderkey", F.col("l_orderkey").cast("string"))
+                  .withColumn("ship_date", F.max("l_shipdate").over(Window.partitionBy("l_orderkey"))))
+            orders = orders.withColumn("o_orderkey", F.col("o_orderkey").cast("string"))
+        else:
+            ship = (lp.groupBy(F.col("l_orderkey").alias("s_orderkey"))
+                    .agg(F.max("l_shipdate").alias("ship_date")))
+            # left join: an order without surviving lines yields no flat row anyway,
+            # and a left join to a key-unique aggregate is dropped by the optimizer
+            # when ship_date is not read (no second lineitem scan for most reports)
+            orders = orders.join(ship, F.col("o_orderkey") == F.col("s_orderkey"), "left")
+        orders = orders.join(cust, F.col("o_custkey") == F.col("c_custkey"))
+
+        j = lp.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         # one SQL projection: the same expressions as Column code, built with a
         # single call instead of hundreds of driver round trips
         sales = "CAST(l_extendedprice AS DECIMAL(11,2))"
@@ -87,7 +99,7 @@ class TestData:
         return j.selectExpr(
             "concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), CAST(l_partkey AS STRING), "
             f"CAST(l_suppkey AS STRING), CAST({sales} AS STRING)) AS row_id",
-            "CAST(o_orderkey AS STRING) AS order_id",
+            "CAST(l_orderkey AS STRING) AS order_id",
             "CAST(o_orderdate AS DATE) AS order_date",
             "ship_date",
             "o_orderpriority AS ship_mode",
@@ -109,6 +121,16 @@ class TestData:
             f"CAST({sales} * (CAST(0.08 AS DECIMAL(4,2)) - {discount}) AS DECIMAL(21,4)) AS profit",
         )
 
+    def even_orders(self) -> bool:
+        """Whether no bucket of orders has far more lines than the average one.
+        Counted per bucket in one pass over a key of lineitem; nothing is shuffled
+        but the counts."""
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        bucket = F.pmod(F.hash(F.col("l_orderkey").cast("string")), F.lit(buckets))
+        most, lines = (self.table("lineitem").groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+                       .agg(F.max("n"), F.sum("n")).first())
+        return most is not None and most * buckets <= HEAVY_BUCKET * lines
+
     def people(self) -> DataFrame:
         supplier = self.table("supplier").select("s_name", "s_nationkey")
         nation = self.table("nation").select("n_nationkey", "n_regionkey")

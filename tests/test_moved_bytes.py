@@ -1,6 +1,7 @@
 """What moves between tasks, and what is written, stays as small as the job allows."""
 
 import os
+from collections import Counter
 from urllib.parse import urlparse
 
 import pytest
@@ -12,6 +13,7 @@ from starloom.operators.clean import fit_violation
 from starloom.operators.observed import _breach
 from starloom.plans import marts, star
 from starloom.session import checkpoint_dir, materialize
+from starloom.sources.testdata import TestData
 
 from .conftest import SF_SMALL
 from .fixtures import people, random_orders, returns
@@ -109,3 +111,43 @@ def test_the_sheet_is_written_compressed(spark):
     sheets = [d for d in set(os.listdir(scratch)) - before if d.endswith(".csv")]
     parts = [f for d in sheets for f in os.listdir(os.path.join(scratch, d)) if f.startswith("part-")]
     assert parts and all(f.endswith(".gz") for f in parts)
+
+
+def test_orders_and_lines_are_made_of_the_extract_where_it_lies(spark, unbroadcast, monkeypatch):
+    frames, real = {}, star.materialize
+    monkeypatch.setattr(star, "materialize", lambda df, tag, **how: (frames.update({tag: df}), real(df, tag, **how))[1])
+    v1 = catalog.star_v1(spark, SF_SMALL)
+    v2 = star.StarV2.alongside(v1)
+    star.build_all(v1, v2)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    extract = _executed(frames["stg_orders"].repartition(buckets, "order_id"))
+    assert "REPARTITION_BY" not in extract and extract.count("lineitem.parquet") == 1
+    # dimensions of few rows are broadcast; what moves are the returns only
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    for name, moved in {"sales_fact": 0, "order_details_v2": 0, "order_dim": 1, "orders_v2": 1}.items():
+        assert _executed(frames[name].repartition(buckets, "order_id")).count("Exchange hashpartitioning") == moved, name
+
+
+def test_the_extract_hashed_by_order_has_the_same_rows(spark):
+    td = TestData(spark, SF_SMALL)
+    assert td.even_orders()
+    hashed, plain = td.flat_orders(hashed_by_id=True), td.flat_orders()
+    assert hashed.schema.simpleString() == plain.schema.simpleString()
+    assert Counter(map(tuple, hashed.collect())) == Counter(map(tuple, plain.collect()))
+
+
+def test_an_extract_with_a_hot_order_is_not_held_in_one_bucket(spark, tmp_path):
+    for name in os.listdir(SF_SMALL):
+        if name != "lineitem.parquet":
+            os.symlink(os.path.join(SF_SMALL, name), tmp_path / name)
+    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    order = spark.read.parquet(f"{SF_SMALL}/orders.parquet").agg(F.min("o_orderkey")).first()[0]
+    hot = F.when(F.col("l_partkey") % 8 > 0, F.lit(order)).otherwise(F.col("l_orderkey")).cast(lines.schema["l_orderkey"].dataType)
+    lines.withColumn("l_orderkey", hot).write.parquet(str(tmp_path / "lineitem.parquet"))
+    td = TestData(spark, str(tmp_path))
+    assert not td.even_orders()
+    v1 = catalog.star_v1(spark, str(tmp_path))
+    flat = Counter(map(tuple, td.flat_orders().collect()))
+    assert Counter(map(tuple, v1.raw_staging.drop(star.ORDER_YEAR).collect())) == flat
+    assert Counter(map(tuple, v1.staging_by_order.collect())) == Counter(map(tuple, v1.staging.collect()))
+    assert v1._bucketed is None and v1.sales_fact.count() == sum(flat.values())
