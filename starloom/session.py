@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -102,13 +104,38 @@ def materialize(df: DataFrame, tag: str, folder: str | None = None, partition_by
         df = df.repartition(buckets, *bucket_by)
         name = f"starloom_{uuid.uuid4().hex}_{tag}"
         writer = (watch(df) if watch else df).write.mode("overwrite").option("path", path).option("compression", CODEC)
-        writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by).saveAsTable(name, format="parquet", partitionBy=list(partition_by) or None)
+        with _bucket_by_bucket(spark):
+            writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by).saveAsTable(name, format="parquet",
+                                                                                partitionBy=list(partition_by) or None)
         _BUCKETED.setdefault(id(spark), []).append(name)
         return spark.table(name)
     (watch(df) if watch else df).write.mode("overwrite").partitionBy(*partition_by).parquet(path, compression=CODEC)
     return spark.read.parquet(path)
 
 
+_AUTO_SCAN = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+_HOLDS: dict[int, list] = {}  # session -> number of writes that hold the setting, value before the first
+_HOLDS_LOCK = threading.Lock()
+
+
+@contextmanager
+def _bucket_by_bucket(spark: SparkSession) -> Iterator[None]:
+    """Bucketed tables are read bucket by bucket meanwhile, also where no join or
+    grouping asks for it: rows made of a table in its own buckets then make one
+    file a bucket.  Writes may overlap; the last one puts the setting back."""
+    with _HOLDS_LOCK:
+        hold = _HOLDS.setdefault(id(spark), [0, spark.conf.get(_AUTO_SCAN)])
+        hold[0] += 1
+        spark.conf.set(_AUTO_SCAN, "false")
+    try:
+        yield
+    finally:
+        with _HOLDS_LOCK:
+            hold[0] -= 1
+            if not hold[0]:
+                spark.conf.set(_AUTO_SCAN, _HOLDS.pop(id(spark))[1])
+
+
 # Catalog names of bucketed intermediates by session; ``release`` drops them.
 _BUCKETED: dict[int, list[str]] = {}
 

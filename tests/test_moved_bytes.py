@@ -126,6 +126,10 @@ def test_orders_and_lines_are_made_of_the_extract_where_it_lies(spark, unbroadca
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
     for name, moved in {"sales_fact": 0, "order_details_v2": 0, "order_dim": 1, "orders_v2": 1}.items():
         assert _executed(frames[name].repartition(buckets, "order_id")).count("Exchange hashpartitioning") == moved, name
+    for table in (v1.sales_fact, v2.order_details_v2, v1.order_dim, v2.orders_v2):
+        files = table.inputFiles()
+        assert len({f.rpartition("_")[2].partition(".")[0] for f in files}) == len(files) <= buckets
+    assert spark.conf.get("spark.sql.sources.bucketing.autoBucketedScan.enabled") == "true"
 
 
 def test_the_extract_hashed_by_order_has_the_same_rows(spark):
