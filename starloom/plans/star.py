@@ -100,11 +100,10 @@ class _Model:
         columns of ``df`` beyond the declared ones) are counted by the write."""
         if not self._stage:
             return df.drop(*EXTRA)
-        layout = {"folder": self._folder, **layout}
         if name not in DECLARED:
-            return materialize(df, name, **layout)
+            return materialize(df, name, folder=self._folder, **layout)
         watched = Watched(SPECS[DECLARED[name][0]], extra or {}, [c for c in df.columns if c not in EXTRA])
-        written = materialize(df, name, watch=watched.watch, **layout)
+        written = materialize(df, name, folder=self._folder, watch=watched.watch, **layout)
         self._watched.update(dict.fromkeys(DECLARED[name], watched))
         self._layout[name] = layout.get("bucket_by", ())
         return written
@@ -126,9 +125,10 @@ class _Model:
         if not self._by_order_id:
             return self._table("stg_orders", by_year, partition_by=[ORDER_YEAR])
         spark = by_year.sparkSession
-        folder = self._folder or os.path.join(checkpoint_dir(spark), "starloom", f"staged-{uuid.uuid4().hex}")
-        self._bucketed = self._table("stg_orders", by_year, folder=folder, partition_by=[ORDER_YEAR], bucket_by=["order_id"])
-        return spark.read.parquet(os.path.join(folder, "stg_orders"))  # its size and its splits are those of the files
+        path = (os.path.join(self._folder, "stg_orders") if self._folder
+                else os.path.join(checkpoint_dir(spark), "starloom", f"stg_orders-{uuid.uuid4().hex}"))
+        self._bucketed = self._table("stg_orders", by_year, path=path, partition_by=[ORDER_YEAR], bucket_by=["order_id"])
+        return spark.read.parquet(path)  # its size and its splits are those of the files
 
     @cached_property
     def staging_by_order(self) -> DataFrame:

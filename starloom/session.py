@@ -80,7 +80,8 @@ _LOCAL_SCRATCH: dict[str, str] = {}
 
 
 def materialize(df: DataFrame, tag: str, folder: str | None = None, partition_by: Sequence[str] = (),
-                bucket_by: Sequence[str] = (), watch: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                bucket_by: Sequence[str] = (), watch: Callable[[DataFrame], DataFrame] | None = None,
+                path: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared checkpoint folder and read it back.
 
     Used where several consumers read one expensive intermediate (the repaired
@@ -88,7 +89,7 @@ def materialize(df: DataFrame, tag: str, folder: str | None = None, partition_by
     rows (dense keys).  Parquet keeps column pruning for the consumers, and the
     files outlive any executor.
 
-    ``folder``: a folder of the caller's instead (the table's own is ``tag`` in it).
+    ``folder``: a folder of the caller's instead (the table's own is ``tag`` in it); ``path``: the table's own folder.
     ``partition_by``: one subfolder per value, pruned by a filter on the column.
     ``bucket_by``: hashed into ``spark.sql.shuffle.partitions`` buckets, one sorted
     file each, so joins on these columns need no exchange; the table is then known
@@ -98,7 +99,7 @@ def materialize(df: DataFrame, tag: str, folder: str | None = None, partition_by
     count every row once, however often an earlier stage is run again.
     """
     spark = df.sparkSession
-    path = os.path.join(folder, tag) if folder else os.path.join(checkpoint_dir(spark), "starloom", f"{tag}-{uuid.uuid4().hex}")
+    path = path or os.path.join(folder, tag) if path or folder else os.path.join(checkpoint_dir(spark), "starloom", f"{tag}-{uuid.uuid4().hex}")
     if bucket_by:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         df = df.repartition(buckets, *bucket_by)
